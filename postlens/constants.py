@@ -152,3 +152,61 @@ LANGUAGE_PROFILES = {
     "de": ["der", "die", "und", "den", "das", "nicht", "von", "sie", "ist", "des", "sich", "mit", "dem", "ein", "auf", "zu"],
     "es": ["el", "los", "que", "las", "por", "con", "una", "su", "para", "es", "al", "lo", "como", "del", "en", "y"],
 }
+
+# --- Fixed values: rows of the rule-based recommendations ---------------------
+
+# name: type, content type, title, priority, urgency, reasoning, audience,
+#       estimated engagement, hashtags, strategy, action required
+# {} in a reasoning, title or estimate takes the figure the rule found
+RECOMMENDATIONS = {
+    "sentiment_negative": (
+        "sentiment_response", "discussion", "Addressing community concerns: Let's talk", 9, "high",
+        "High negative sentiment ({}) requires attention", "concerned_users", "high",
+        ["#community", "#feedback", "#improvement"], "transparency_and_support", "immediate_response",
+    ),
+    "sentiment_positive": (
+        "sentiment_amplification", "showcase", "Celebrating our amazing community achievements", 7, "medium",
+        "High positive sentiment ({}) - good time to amplify", "engaged_community", "high",
+        ["#celebration", "#community", "#success"], "amplify_positive_momentum", None,
+    ),
+    "engagement_high_activity": (
+        "engagement_optimization", "discussion", "Community roundup: This week's highlights", 6, "low",
+        "High community activity ({} posts) - good time for summary content", "active_community", "medium",
+        ["#roundup", "#community", "#highlights"], "content_curation", None,
+    ),
+    "engagement_diverse_sources": (
+        "content_diversity", "showcase", "Community spotlight: Diverse voices and perspectives", 5, "low",
+        "Content from {} different sources shows good diversity", "general", "medium",
+        ["#diversity", "#community", "#voices"], "highlight_diversity", None,
+    ),
+    "timing_optimal": (
+        "timing_optimization", "meta", "Optimal posting time: {}:00", 4, "low",
+        "Peak engagement time with {}x boost", "content_creators", "{}x normal",
+        None, "timing_optimization", None,
+    ),
+    "content_educational": (
+        "content_type", "tutorial", "Create comprehensive learning resource", 7, "medium",
+        "Educational content typically performs well in tech communities", "learners", "high",
+        ["#tutorial", "#learning", "#education"], "knowledge_sharing", None,
+    ),
+    "content_interactive": (
+        "content_type", "qa", "Host interactive Q&A session", 6, "medium",
+        "Interactive content drives engagement and community participation", "active_community", "very_high",
+        ["#AMA", "#QA", "#interactive"], "community_engagement", None,
+    ),
+    "fallback_welcome": (
+        "community_building", "discussion", "Welcome new community members", 5, "low",
+        "Regular community building activity", "new_members", "medium",
+        ["#welcome", "#community", "#newmembers"], "community_building", None,
+    ),
+    "fallback_tips": (
+        "educational", "tutorial", "Share useful tips and tricks", 6, "low",
+        "Educational content is always valuable", "general", "medium",
+        ["#tips", "#tricks", "#learning"], "knowledge_sharing", None,
+    ),
+    "fallback_showcase": (
+        "community_engagement", "showcase", "Showcase community projects", 7, "medium",
+        "Highlighting community work drives engagement", "creators", "high",
+        ["#showcase", "#projects", "#community"], "community_highlights", None,
+    ),
+}

@@ -38,6 +38,19 @@ def attach(df: DataFrame, summary: DataFrame, by: Sequence[str] = ()) -> DataFra
     return df.withColumn("_summary", row).select(*df.columns, *[F.col("_summary")[c].alias(c) for c in summary.columns])
 
 
+def side_by_side(frames: Sequence[DataFrame], by: Sequence[str] = ()) -> DataFrame:
+    """Frames of one row per community as one such frame with all their columns.
+
+    The rows are stacked and folded per community, one small shuffle and no
+    join; a column a frame does not have for a community stays NULL.
+    """
+    stacked = frames[0]
+    for frame in frames[1:]:
+        stacked = stacked.unionByName(frame, allowMissingColumns=True)
+    values = [c for c in stacked.columns if c not in by]
+    return stacked.groupBy(*by).agg(*[F.any_value(F.col(c), F.lit(True)).alias(c) for c in values])
+
+
 def ratio(condition: Column) -> Column:
     """Share of rows that satisfy the condition."""
     return F.avg(condition.cast("double"))

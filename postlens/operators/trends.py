@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlens import constants as C
@@ -12,7 +12,7 @@ from postlens.functions import labels as L
 from postlens.functions import text as X
 from postlens.functions.dates import as_time, first_written, hour_key, hours_before, normalize_datetime
 from postlens.operators.behavior import hashtag_lookup
-from postlens.operators.common import attach, engagement, top_rows
+from postlens.operators.common import engagement, side_by_side, top_rows
 from postlens.operators.keywords import extract_keywords, post_text
 
 WATCHED_KEYWORDS = 30
@@ -23,19 +23,18 @@ TOP_TRENDS = 15
 def related_keywords(keywords: DataFrame, pool: int = RELATED_POOL, n: int = 3, by: Sequence[str] = ()) -> DataFrame:
     """For each ranked keyword, the first ``n`` of the top ``pool`` that share a word with it.
 
-    ``keywords`` holds (by, keyword, rank). The pool of a community is at most
-    ``pool`` entries, so it is gathered into one array and matched in the row.
+    ``keywords`` holds (by, keyword, rank) and is a top-k already, so the pool
+    of a community is gathered over its few rows and matched in the row.
     """
-    pools = keywords.where(F.col("rank") <= pool).groupBy(*by).agg(
-        F.array_sort(F.collect_list(F.struct("rank", "keyword"))).alias("_pool")
-    )
+    candidate = F.when(F.col("rank") <= pool, F.struct("rank", "keyword"))
+    gathered = keywords.withColumn("_pool", F.array_sort(F.collect_list(candidate).over(Window.partitionBy(*by))))
     own = F.split("keyword", " ")
     matches = F.filter(
         F.col("_pool"),
         lambda e: (e["keyword"] != F.col("keyword")) & F.arrays_overlap(F.split(e["keyword"], " "), own),
     )
     names = F.slice(F.transform(matches, lambda e: e["keyword"]), 1, n)
-    return attach(keywords, pools, by).withColumn("related_keywords", names).drop("_pool")
+    return gathered.withColumn("related_keywords", names).drop("_pool")
 
 
 def keyword_trends(
@@ -151,13 +150,15 @@ def emerging_topics(
 ) -> DataFrame:
     """Words in front of a topic head; of the ``n`` most frequent, those used three times and longer than three."""
     lowered = F.lower(post_text())
-    found = [
-        F.transform(
-            F.regexp_extract_all(lowered, F.lit(rf"(?<!{C.WORD_CHAR})({C.WORD_CHAR}++){C.SPACE}++{head}(?!{C.WORD_CHAR})"), F.lit(1)),
-            lambda w, p, i=i: F.struct(w.alias("word"), F.lit(i).alias("head"), p.alias("position")),
+
+    def before(order: int, head: str) -> Column:
+        pattern = rf"(?<!{C.WORD_CHAR})({C.WORD_CHAR}++){C.SPACE}++{head}(?!{C.WORD_CHAR})"
+        return F.transform(
+            F.regexp_extract_all(lowered, F.lit(pattern), F.lit(1)),
+            lambda w, i: F.struct(w.alias("word"), F.lit(order).alias("head"), i.alias("position")),
         )
-        for i, head in enumerate(heads)
-    ]
+
+    found = [before(order, head) for order, head in enumerate(heads)]
     hits = posts.select(*by, "ingest_seq", F.inline(F.concat(*found)))
     counts = hits.groupBy(*by, "word").agg(
         F.count("*").alias("mention_count"), F.min(F.struct("head", "ingest_seq", "position")).alias("_first")
@@ -215,7 +216,7 @@ def content_velocity(posts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         F.coalesce("_start", na).alias("period_start"),
         F.coalesce("_end", na).alias("period_end"),
     )
-    return attach(result, velocity_trend(posts, by), by)
+    return side_by_side([result, velocity_trend(posts, by)], by)
 
 
 def velocity_trend(posts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -258,10 +259,7 @@ def _run_parts(hashtags: DataFrame, topics: DataFrame, velocity: DataFrame, by:
     leaders = topics.groupBy(*by).agg(
         F.array_sort(F.collect_list(F.struct("rank", "topic", "confidence_score"))).alias("_topics")
     )
-    joined = velocity
-    for part in (tags, counts, leaders):
-        joined = attach(joined, part, by)
-    return joined
+    return side_by_side([velocity, tags, counts, leaders], by)
 
 
 def trend_summary(hashtags: DataFrame, topics: DataFrame, velocity: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -336,3 +334,32 @@ def trend_advice(hashtags: DataFrame, topics: DataFrame, velocity: DataFrame, by
     )
     chosen = parts.select(*by, F.posexplode(F.slice(advice, 1, 5)).alias("_i", "advice"))
     return chosen.select(*by, (F.col("_i") + 1).alias("position"), "advice")
+
+
+def trend_run(
+    events: DataFrame,
+    posts: DataFrame,
+    as_of,
+    time_window_hours: int = 24,
+    by: Sequence[str] = (),
+    heads: Sequence[str] = tuple(C.TOPIC_HEADS),
+) -> DataFrame:
+    """A full trend run as rows (by, section, row as JSON)."""
+    hashtags = hashtag_trends(events, as_of, time_window_hours, by)
+    topics = emerging_topics(posts, by=by, heads=heads)
+    velocity = content_velocity(posts, by)
+    sections = {
+        "hashtag_trends": hashtags,
+        "emerging_topics": topics,
+        "content_velocity": velocity,
+        "trend_summary": trend_summary(hashtags, topics, velocity, by),
+        "key_recommendations": trend_advice(hashtags, topics, velocity, by),
+    }
+    frames = [
+        frame.select(*by, F.lit(name).alias("section"), F.to_json(F.struct(*[c for c in frame.columns if c not in by])).alias("row"))
+        for name, frame in sections.items()
+    ]
+    whole = frames[0]
+    for frame in frames[1:]:
+        whole = whole.unionByName(frame)
+    return whole
