@@ -183,7 +183,7 @@ def tokens(x: str) -> str:
 
 
 LEX = "lex(word, polarity, subjectivity, intensity) AS (VALUES " + ", ".join(
-    f"({q(w)}, {p}, {s}, {i})" for w, p, s, i in LEXICON
+    f"({q(w)}, {p}::DOUBLE, {s}::DOUBLE, {i}::DOUBLE)" for w, p, s, i in LEXICON
 ) + ")"
 SENTIMENT = f"""{LEX},
 tok AS (SELECT ingest_seq, unnest({tokens('body')}) AS word, generate_subscripts({tokens('body')}, 1) AS pos FROM posts),
@@ -193,7 +193,7 @@ hits AS (
     greatest(-1, least(1, l.polarity * CASE WHEN list_contains({lst(NEGATIONS)}, previous) THEN -0.5 ELSE 1 END * coalesce(b.intensity, 1))) AS s
   FROM tok2 t JOIN lex l ON t.word = l.word LEFT JOIN lex b ON b.word = t.previous),
 scores AS (
-  SELECT p.ingest_seq, coalesce(avg(s), 0.0) AS pol, coalesce(avg(subjectivity), 0.0) AS sub
+  SELECT p.ingest_seq, round(coalesce(avg(s), 0.0), 9) AS pol, round(coalesce(avg(subjectivity), 0.0), 9) AS sub
   FROM posts p LEFT JOIN hits USING (ingest_seq) GROUP BY ALL)"""
 
 
@@ -534,8 +534,8 @@ def oracle_queries() -> dict[str, str]:
             r AS (SELECT a.k, b.k AS other, row_number() OVER (PARTITION BY a.k ORDER BY b.rank) AS o FROM top a JOIN top b ON b.rank <= 15 AND a.k <> b.k
               AND len(list_intersect(string_split(a.k, ' '), string_split(b.k, ' '))) > 0)
             SELECT top.rank, top.k AS keyword, coalesce(string_agg(other, ', ' ORDER BY o) FILTER (o <= 3), '') AS related_keywords FROM top LEFT JOIN r USING (k) GROUP BY ALL""",
-        "hashtag_trends": f"""WITH {TAGGED} SELECT hashtag, c AS current_mentions, p AS previous_mentions, round(g, 6) AS growth_rate, platforms, round(mood, 6) AS sentiment_score,
-            round(rate, 6) AS engagement_rate, spread AS geographic_spread, round(score, 6) AS trend_score, velocity, prediction,
+        "hashtag_trends": f"""WITH {TAGGED} SELECT hashtag, c AS current_mentions, p AS previous_mentions, round(g, 8) AS growth_rate, platforms, round(mood, 8) AS sentiment_score,
+            round(rate, 8) AS engagement_rate, spread AS geographic_spread, round(score, 8) AS trend_score, velocity, prediction,
             {case_of('hashtag', TAG_CATEGORY, q(C.OTHER_CATEGORY))} AS category, '{','.join(C.DEFAULT_HASHTAG_KEYWORDS)}' AS related_keywords FROM hashtags""",
         "emerging_topics": with_posts(f"SELECT rank, topic, 'Emerging technology trend related to ' || word AS description, n AS mention_count, round(conf, 6) AS confidence_score, {category('word')} AS trend_category FROM topics", TOPICS),
         "content_velocity": with_posts("SELECT * REPLACE (round(avg_engagement_per_post, 6) AS avg_engagement_per_post, round(avg_hourly_posting_rate, 6) AS avg_hourly_posting_rate, round(avg_daily_posting_rate, 6) AS avg_daily_posting_rate) FROM velocity", VELOCITY),
@@ -563,12 +563,12 @@ def oracle_queries() -> dict[str, str]:
         "recommend_sentiment": with_posts(f"SELECT part AS platform, {REC} FROM ({SENTIMENT_RECS})", distribution("platform")),
         "recommend_engagement": with_posts(f"SELECT part AS platform, {REC} FROM ({ENGAGEMENT_RECS})", figures("platform")),
         "recommend_timing": with_posts(f"SELECT part AS platform, {REC} FROM ({TIMING_RECS})", figures("platform"), SLOTS),
-        "recommend_fallback": with_posts(f"""SELECT part AS source, ord AS rank, {REC}, {iso('now')} AS generated_at, 0.6 AS confidence_score FROM (
+        "recommend_fallback": with_posts(f"""SELECT part AS source, ord AS rank, {REC}, {iso('now')} AS generated_at, 0.6::DOUBLE AS confidence_score FROM (
             SELECT part, 1 AS ord, {fixed('fallback_welcome')} FROM without, clock UNION ALL SELECT part, 2, {fixed('fallback_tips')} FROM without, clock
             UNION ALL SELECT part, 3, {fixed('fallback_showcase')} FROM without, clock), clock""",
             "without AS (SELECT DISTINCT source AS part FROM documents WHERE source NOT IN (SELECT source FROM posts WHERE shares = 6 AND likes > 100 AND source IS NOT NULL))"),
-        "recommend_all": with_posts(f"SELECT rank, {REC}, generated_at, round(confidence_score, 6) AS confidence_score FROM ranked", all_recommendations("''")),
-        "recommend_all_by_platform": with_posts(f"SELECT part AS platform, rank, {REC}, generated_at, round(confidence_score, 6) AS confidence_score FROM ranked", all_recommendations("platform")),
+        "recommend_all": with_posts(f"SELECT rank, {REC}, generated_at, round(CAST(confidence_score AS DOUBLE), 6) AS confidence_score FROM ranked", all_recommendations("''")),
+        "recommend_all_by_platform": with_posts(f"SELECT part AS platform, rank, {REC}, generated_at, round(CAST(confidence_score AS DOUBLE), 6) AS confidence_score FROM ranked", all_recommendations("platform")),
         "recommendation_bands": with_posts("""SELECT part AS platform, count(*) AS total_recommendations, count(*) FILTER (confidence_score > 0.8) AS high,
             count(*) FILTER (confidence_score BETWEEN 0.6 AND 0.8) AS medium, count(*) FILTER (confidence_score < 0.6) AS low FROM ranked GROUP BY part""", all_recommendations("platform")),
         "recommendations_by_analysis": with_posts(f"SELECT analysis_id, type AS recommendation_type, priority, {iso('timestamp')} AS analyzed_at FROM ({ENGAGEMENT_RECS}) JOIN analyses USING (part)", figures("platform"), ANALYSES),
@@ -594,7 +594,7 @@ def oracle_queries() -> dict[str, str]:
             FROM (SELECT doc_id AS ingest_seq, w, unnest(range(1, least(20, len(w)) + 1)) AS i FROM (SELECT doc_id, {words('text')} AS w FROM documents))""",
         "extract_articles": f"""WITH a AS (SELECT page_id, url, {ARTICLE} AS a FROM pages WHERE contains(html, '<article>')),
             b AS (SELECT *, regexp_extract(a, '(?s)<h1[^>]*>(.*?)</h1>', 1) AS h, regexp_extract(a, '(?s)<p[^>]*>(.*)$', 1) AS after_p FROM a),
-            c AS (SELECT *, CASE WHEN position('<p>' IN after_p) = 0 OR position('</p>' IN after_p) < position('<p>' IN after_p)
+            c AS (SELECT *, CASE WHEN position('</p>' IN after_p) = 0 THEN after_p WHEN position('<p>' IN after_p) = 0 OR position('</p>' IN after_p) < position('<p>' IN after_p)
                THEN regexp_extract(after_p, '(?s)^(.*?)</p>', 1) ELSE after_p END AS p FROM b)
             SELECT page_id, 0 AS position, {unescape('trim(' + UNTAG.format(x='h') + ')')} AS title, {unescape('trim(' + UNTAG.format(x='p') + ')')} AS content,
             '' AS url, regexp_extract(url, '^[a-z]+://([^/]*)', 1) AS source, {NULLS} AS author, 'General' AS category FROM c WHERE length({unescape('trim(' + UNTAG.format(x='h') + ')')}) >= 10""",

@@ -1,4 +1,4 @@
-"""The advanced analysis bundle: one persisted input, many small results."""
+"""The advanced analysis bundle: one stored input, many small results."""
 
 from __future__ import annotations
 
@@ -14,7 +14,7 @@ from postlens.operators import behavior as B
 def advanced_analysis(
     posts: DataFrame, names: Sequence[str] = tuple(C.COMPETITORS), by: Sequence[str] = ()
 ) -> dict[str, DataFrame]:
-    """Results by name; persist ``posts`` before running several of them."""
+    """Results by name; they all read ``posts``, which should be a stored table."""
     return {
         "community_health": B.community_health(posts, by),
         "top_performing_content": B.top_content(posts, by=by),

@@ -17,6 +17,7 @@ from postlens.operators.enrich import enrich
 from postlens.operators.insights import insights
 from postlens.operators.recommend import recommend_all
 from postlens.operators.trends import keyword_trends
+from postlens.session import materialize
 from postlens.sources import store
 
 CYCLE_WINDOW_HOURS = 24
@@ -137,30 +138,23 @@ def run_cycle(
 ) -> DataFrame:
     """Run a cycle on canonical posts and return its summary; store it where paths are given.
 
-    The enriched posts are persisted to disk-backed storage while the results
-    are written, since every result reads them; a lost block is recomputed.
+    The enriched posts are written once to the shared work folder, since every
+    result of the cycle reads them.
     """
-    enriched = collect_posts(posts, as_of, near=near, lexicon=lexicon)
+    enriched = materialize(collect_posts(posts, as_of, near=near, lexicon=lexicon), "enriched")
+    analysis = analyze(enriched, as_of, by)
+    recommendations = recommend(analysis, as_of, by)
+    summary = cycle_summary(enriched, analysis, recommendations, as_of, by)
     if analyses_path is None:
-        analysis = analyze(enriched, as_of, by)
-        return cycle_summary(enriched, analysis, recommend(analysis, as_of, by), as_of, by)
-    enriched = enriched.persist()
-    try:
-        analysis = analyze(enriched, as_of, by)
-        recommendations = recommend(analysis, as_of, by)
-        now = as_time(as_of)
-        stamp = F.concat(F.lit("analysis_"), F.date_format(now, "yyyyMMdd_HHmmss"))
-        name = F.lit(analysis_id) if analysis_id else stamp
-        if by:
-            name = F.concat_ws("_", name, *by)
-        summary = cycle_summary(enriched, analysis, recommendations, as_of, by)
-        named = summary.withColumns({"analysis_id": name, "timestamp": now})
-        store.upsert_analyses(store.analysis_rows(named), analyses_path)
-        if recommendations_path is not None:
-            store.save_recommendations(
-                store.recommendation_rows(recommendations, name, now), recommendations_path
-            )
-        # The stored rows are the result: reading them back does not run the cycle again.
-        return store.read_analyses(posts.sparkSession, analyses_path)
-    finally:
-        enriched.unpersist()
+        return summary
+    now = as_time(as_of)
+    name = F.lit(analysis_id) if analysis_id else F.concat(F.lit("analysis_"), F.date_format(now, "yyyyMMdd_HHmmss"))
+    if by:
+        name = F.concat_ws("_", name, *by)
+    named = summary.withColumns({"analysis_id": name, "timestamp": now})
+    store.upsert_analyses(store.analysis_rows(named), analyses_path)
+    if recommendations_path is not None:
+        rows = store.recommendation_rows(recommendations, name, now)
+        store.save_recommendations(rows, recommendations_path)
+    # The stored rows are the result: reading them back does not run the cycle again.
+    return store.read_analyses(posts.sparkSession, analyses_path)

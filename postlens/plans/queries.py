@@ -16,7 +16,7 @@ from postlens.operators import common, dedup, enrich, insights, keywords, langua
 from postlens.plans import advanced, cycle, report
 from postlens.plans.fixtures import as_of, counted_posts, events_as_of, posts, table, tagged_events
 from postlens.schema import conform
-from postlens.session import small_table, work_folder
+from postlens.session import materialize, small_table, work_folder
 from postlens.sources import html, payloads, store
 from postlens.streaming import jobs
 
@@ -57,6 +57,11 @@ def documents(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select(F.col("doc_id").alias("ingest_seq"), F.col("text").alias("content"))
 
 
+def shared_posts(spark: SparkSession, d: str) -> DataFrame:
+    """Posts written once, for queries that read them several times."""
+    return materialize(counted_posts(spark, d), "posts")
+
+
 # --- dates and text ---------------------------------------------------------
 
 
@@ -100,7 +105,10 @@ def pair_similarity(spark, d):
     newer = documents(spark, d)
     older = documents(spark, d).select((F.col("ingest_seq") + 1).alias("ingest_seq"), F.col("content").alias("_old"))
     ratio = dedup.pair_similarity(F.col("content"), F.col("_old"))
-    return newer.join(older, "ingest_seq").select("ingest_seq", F.round(ratio, 6).alias("similarity"))
+    # Heavy on processors, light on bytes: spread, so that pairs are not packed by size.
+    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    pairs = newer.join(older, "ingest_seq").repartition(spread, "ingest_seq")
+    return pairs.select("ingest_seq", F.round(ratio, 6).alias("similarity"))
 
 
 def validate_posts(spark, d):
@@ -351,15 +359,15 @@ def competitor_contexts(spark, d):
 
 
 def advanced_analysis(spark, d):
-    results = advanced.advanced_analysis(posts(spark, d).persist(), NAMES)
+    results = advanced.advanced_analysis(shared_posts(spark, d), NAMES)
     return advanced.as_rows(results).groupBy("section").agg(F.count("*").alias("rows"))
 
 
 # --- trends -----------------------------------------------------------------
 
 
-def _trends(spark, d, by=()) -> DataFrame:
-    return trends.keyword_trends(posts(spark, d), as_of(spark, d), by=by, terms=TERMS)
+def _trends(spark, d, by=(), source=None) -> DataFrame:
+    return trends.keyword_trends(posts(spark, d) if source is None else source, as_of(spark, d), by=by, terms=TERMS)
 
 
 def _flat_trends(t: DataFrame, by=()) -> DataFrame:
@@ -403,7 +411,8 @@ def hashtag_trends(spark, d):
             F.array_join("platforms", ",").alias("platforms"), "sentiment_score", "engagement_rate",
             "geographic_spread", "trend_score", "velocity", "prediction", "category",
             F.array_join("related_keywords", ",").alias("related_keywords"),
-        )
+        ),
+        digits=8,
     )
 
 
@@ -423,17 +432,22 @@ def velocity_trend(spark, d):
     return trends.velocity_trend(_event_posts(spark, d).withColumn("date", F.lit(None).cast("string")))
 
 
+def _trend_parts(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
+    p = shared_posts(spark, d)
+    return _hashtags(spark, d), trends.emerging_topics(p, heads=HEADS), trends.content_velocity(p)
+
+
 def trend_summary(spark, d):
-    return rounded(trends.trend_summary(_hashtags(spark, d), _topics(spark, d), trends.content_velocity(posts(spark, d))))
+    return rounded(trends.trend_summary(*_trend_parts(spark, d)))
 
 
 def trend_advice(spark, d):
-    return trends.trend_advice(_hashtags(spark, d), _topics(spark, d), trends.content_velocity(posts(spark, d)))
+    return trends.trend_advice(*_trend_parts(spark, d))
 
 
 def trend_run(spark, d):
     run = trends.trend_run(
-        tagged_events(spark, d), posts(spark, d), events_as_of(spark, d), heads=HEADS
+        materialize(tagged_events(spark, d), "events"), shared_posts(spark, d), events_as_of(spark, d), heads=HEADS
     )
     return run.groupBy("section").agg(F.count("*").alias("rows"))
 
@@ -442,16 +456,17 @@ def trend_run(spark, d):
 
 
 def insight_lines(spark, d):
-    return insights.insights(counted_posts(spark, d), _trends(spark, d))
+    p = shared_posts(spark, d)
+    return insights.insights(p, _trends(spark, d, source=p))
 
 
 def scored_insights(spark, d):
     """Per platform, from its sentiment, its first trend and its busiest hour."""
-    p = posts(spark, d)
+    p = shared_posts(spark, d)
     moods = stats.sentiment_distribution(p, BY).select(
         *BY, (F.col("positive") * 100).alias("positive_pct"), (F.col("negative") * 100).alias("negative_pct")
     )
-    top = _trends(spark, d, BY).where("rank = 1").select(
+    top = _trends(spark, d, BY, p).where("rank = 1").select(
         *BY, F.col("topic").alias("top_topic"), F.col("mentions").alias("top_mentions")
     )
     hour = B.peak_hours(p, 1, BY).select(*BY, F.col("hour").alias("top_hour"))
@@ -460,7 +475,7 @@ def scored_insights(spark, d):
 
 
 def analytics_report(spark, d):
-    r = report.analytics_report(counted_posts(spark, d), as_of(spark, d), terms=TERMS)
+    r = report.analytics_report(shared_posts(spark, d), as_of(spark, d), terms=TERMS)
     return rounded(
         r.select(
             "period_start", "period_end", "total_articles", "total_mentions",
@@ -475,7 +490,7 @@ def analytics_report(spark, d):
 
 
 def report_json(spark, d):
-    j = report.report_json(report.analytics_report(counted_posts(spark, d), as_of(spark, d), terms=TERMS))
+    j = report.report_json(report.analytics_report(shared_posts(spark, d), as_of(spark, d), terms=TERMS))
     get = lambda path, name: F.get_json_object("json", path).alias(name)
     return j.select(
         get("$.period_start", "period_start"), get("$.total_articles", "total_articles"),
@@ -484,8 +499,8 @@ def report_json(spark, d):
     )
 
 
-def _figures(spark, d, by=()) -> DataFrame:
-    sources = stats.source_counts(posts(spark, d), by)
+def _figures(spark, d, by=(), source=None) -> DataFrame:
+    sources = stats.source_counts(posts(spark, d) if source is None else source, by)
     return sources.groupBy(*by).agg(F.sum("n").alias("total_articles"), F.count("*").alias("source_groups"))
 
 
@@ -522,9 +537,9 @@ def recommend_fallback(spark, d):
 
 
 def _all_recommendations(spark, d, by=()) -> DataFrame:
+    p = shared_posts(spark, d)
     return recommend.recommend_all(
-        _trends(spark, d, by), stats.sentiment_distribution(posts(spark, d), by), _figures(spark, d, by),
-        as_of(spark, d), by,
+        _trends(spark, d, by, p), stats.sentiment_distribution(p, by), _figures(spark, d, by, p), as_of(spark, d), by
     )
 
 
@@ -789,18 +804,14 @@ def unified_by_family(spark, d):
 
 
 def cycle_analysis(spark, d):
-    analysis = cycle.analyze(counted_posts(spark, d), as_of(spark, d), terms=TERMS)
+    analysis = cycle.analyze(shared_posts(spark, d), as_of(spark, d), terms=TERMS)
     return rounded(cycle.analysis_rows(analysis))
 
 
-def _cycle_posts(spark, d) -> DataFrame:
-    return posts(spark, d)
-
-
 def cycle_summary(spark, d):
     """A cycle over the posts with exact dedupe; sentiment as delivered."""
     now = as_of(spark, d)
-    enriched = cycle.collect_posts(_cycle_posts(spark, d), now, near=False, score_sentiment=False)
+    enriched = materialize(cycle.collect_posts(posts(spark, d), now, near=False, score_sentiment=False), "enriched")
     analysis = cycle.analyze(enriched, now, terms=TERMS)
     return cycle.cycle_summary(enriched, analysis, cycle.recommend(analysis, now), now)
 

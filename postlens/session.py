@@ -49,6 +49,7 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") ->
         SparkSession.builder.master(f"local[{cores}]")
         .appName("postlens")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(partitions))
     )
@@ -82,6 +83,17 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame that several results read, and return the written table.
+
+    The table is columnar, so each result reads only its columns, and it
+    outlives the executors that wrote it.
+    """
+    path = work_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def small_table(spark: SparkSession, rows: list[tuple], schema: str | T.StructType) -> DataFrame:
     """A driver-side list as a local relation.
 
