@@ -18,9 +18,24 @@ from postlens.session import configure
 PLATFORMS = ["reddit", "twitter", "linkedin", "quora"]
 
 
+TEXT_TABLES = {"documents", "pages", "conversations"}
+
+
 def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
+    """A driver table; a text table with fewer splits than cores is spread over the cores."""
     configure(spark)
-    return spark.read.parquet(f"{directory}/{name}.parquet")
+    read = spark.read.parquet(f"{directory}/{name}.parquet")
+    return spread(read) if name in TEXT_TABLES else read
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give each core a share of an input too small to have a split for each.
+
+    Text work is bound by processors. An input with as many splits as cores,
+    as any large one has, is left as it is and is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
 def _platform() -> Column:
@@ -93,7 +108,7 @@ def _next_hour(events: DataFrame) -> dt.datetime:
 
 @lru_cache(maxsize=64)
 def as_of(spark: SparkSession, directory: str) -> dt.datetime:
-    documents = table(spark, directory, "documents").select("doc_id")
+    documents = spark.read.parquet(f"{directory}/documents.parquet").select("doc_id")
     events = table(spark, directory, "events").select("event_id", "ts")
     return _next_hour(events.join(documents, F.col("event_id") == F.col("doc_id"), "left_semi"))
 
