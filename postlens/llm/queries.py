@@ -6,3 +6,4 @@ from postlens.llm.arrow_tokens import op2_arrow_tokens
 from postlens.llm.packing import op7_best_fit_packing
 
 QUERIES = {f.__name__: f for f in (op2_arrow_tokens, op7_best_fit_packing)}
+SQL: dict[str, str] = {}
