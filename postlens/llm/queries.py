@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from postlens.llm import url_rules
 from postlens.llm.arrow_tokens import op2_arrow_tokens
 from postlens.llm.packing import op7_best_fit_packing
+from postlens.llm.quality import op6_quality_rules
+from postlens.llm.url_rules import op10_url_rules
 
-QUERIES = {f.__name__: f for f in (op2_arrow_tokens, op7_best_fit_packing)}
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op2_arrow_tokens, op6_quality_rules, op7_best_fit_packing, op10_url_rules)}
+SQL = {"op10_url_rules": url_rules.SQL}
