@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from postlens.llm import url_rules
+from postlens.llm import line_dedup, url_rules, warc
 from postlens.llm.arrow_tokens import op2_arrow_tokens
+from postlens.llm.line_dedup import op4_line_dedup
 from postlens.llm.packing import op7_best_fit_packing
 from postlens.llm.quality import op6_quality_rules
 from postlens.llm.url_rules import op10_url_rules
+from postlens.llm.warc import op1_warc_index
 
-QUERIES = {f.__name__: f for f in (op2_arrow_tokens, op6_quality_rules, op7_best_fit_packing, op10_url_rules)}
-SQL = {"op10_url_rules": url_rules.SQL}
+QUERIES = {
+    f.__name__: f for f in (op1_warc_index, op2_arrow_tokens, op4_line_dedup, op6_quality_rules, op7_best_fit_packing, op10_url_rules)
+}
+SQL = {"op1_warc_index": warc.SQL, "op4_line_dedup": line_dedup.SQL, "op10_url_rules": url_rules.SQL}
