@@ -484,9 +484,13 @@ def oracle_queries() -> dict[str, str]:
         "hourly_sentiment": with_posts(f"""SELECT {iso("date_trunc('hour', dated)")} AS hour, round(avg(sentiment_polarity), 6) AS avg_sentiment, count(*) AS article_count,
             round(coalesce(stddev_samp(sentiment_polarity), 0.0), 6) AS sentiment_volatility FROM posts WHERE sentiment_polarity <> 0 AND dated IS NOT NULL GROUP BY 1"""),
         "sentiment_distribution": with_posts(f"SELECT part AS platform, {rounded_mood} FROM mood", distribution("platform")),
-        "sentiment_by_source": with_posts("SELECT coalesce(source, 'Unknown') AS source, round(avg(sentiment_polarity), 6) AS avg_sentiment, count(*) AS article_count FROM posts WHERE sentiment_polarity <> 0 AND dated IS NOT NULL GROUP BY 1"),
-        "engagement_score": with_posts("""SELECT coalesce(source, 'Unknown') AS source, round(least(1.0, count(*) / 10) * 0.4 + least(1.0, avg(word_count) / 500) * 0.3
-            + (coalesce(avg(sentiment_polarity), 0.0) + 1) / 2 * 0.3, 6) AS engagement_score FROM counted GROUP BY 1"""),
+        "sentiment_by_source": with_posts("""SELECT source, sign(s) * ((200 * abs(s) + n) // (2 * n)) / 1e6 AS avg_sentiment, n AS article_count FROM (
+            SELECT coalesce(source, 'Unknown') AS source, CAST(sum(CAST(round(sentiment_polarity * 10000) AS BIGINT)) AS BIGINT) AS s, count(*) AS n
+            FROM posts WHERE sentiment_polarity <> 0 AND dated IS NOT NULL GROUP BY 1)"""),
+        # in millionths and whole numbers, so that a score between two results is rounded as it is
+        "engagement_score": with_posts("""SELECT source, (2 * ((40000 * least(n, 10) + 150000) * n + 600 * least(w, 500 * n) + 15 * s) + n) // (2 * n) / 1e6 AS engagement_score FROM (
+            SELECT coalesce(source, 'Unknown') AS source, count(*) AS n, CAST(sum(word_count) AS BIGINT) AS w,
+                CAST(sum(CAST(round(sentiment_polarity * 10000) AS BIGINT)) AS BIGINT) AS s FROM counted GROUP BY 1)"""),
         "peak_hour_of_day": with_posts("""SELECT h AS peak_hour, n AS posts_in_hour, CAST(total AS BIGINT) AS dated_posts FROM (
             SELECT hour(dated) AS h, count(*) AS n, min(ingest_seq) AS f, sum(count(*)) OVER () AS total FROM posts WHERE dated IS NOT NULL GROUP BY h)
             WHERE total > 5 ORDER BY n DESC, f LIMIT 1"""),

@@ -8,16 +8,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def top_rows(df: DataFrame, n: int, order: Sequence[Column], by: Sequence[str] = (), rank: str = "rank") -> DataFrame:
-    """The first ``n`` rows per community in the given order, numbered from 1.
+def top_rows(df: DataFrame, n: int | None, order: Sequence[Column], by: Sequence[str] = (), rank: str = "rank") -> DataFrame:
+    """The first ``n`` rows per community in the given order, numbered from 1; without ``n`` all of them.
 
     Over all rows this is a distributed top-k; the numbering then sees n rows.
     Per community Spark cuts each partition to n rows before the shuffle.
     """
     if by:
         ranked = df.withColumn(rank, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
-        return ranked.where(F.col(rank) <= n)
-    numbered = df.orderBy(*order).limit(n)
+        return ranked if n is None else ranked.where(F.col(rank) <= n)
+    numbered = df if n is None else df.orderBy(*order).limit(n)
     return numbered.withColumn(rank, F.row_number().over(Window.orderBy(*order)))
 
 

@@ -106,9 +106,14 @@ def sentiment_distribution(posts: DataFrame, by: Sequence[str] = ()) -> DataFram
     )
 
 
+def exact_mean(column: str) -> Column:
+    """Mean of scores summed as decimals of ten places, so that it doesn't depend on the order of the rows."""
+    return F.sum(F.col(column).cast("decimal(28,10)")).cast("double") / F.count(column)
+
+
 def sentiment_by_source(posts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return _opinionated(posts).groupBy(*by, F.coalesce("source", F.lit("Unknown")).alias("source")).agg(
-        F.avg("sentiment_polarity").alias("avg_sentiment"), F.count("*").alias("article_count")
+        exact_mean("sentiment_polarity").alias("avg_sentiment"), F.count("*").alias("article_count")
     )
 
 
@@ -117,7 +122,7 @@ def engagement_score(posts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     sums = posts.groupBy(*by, F.coalesce("source", F.lit("Unknown")).alias("source")).agg(
         F.count("*").alias("_n"),
         F.avg(F.coalesce("word_count", F.lit(0))).alias("_words"),
-        F.coalesce(F.avg("sentiment_polarity"), F.lit(0.0)).alias("_sentiment"),
+        F.coalesce(exact_mean("sentiment_polarity"), F.lit(0.0)).alias("_sentiment"),
     )
     volume = F.least(F.lit(1.0), F.col("_n") / 10)
     length = F.least(F.lit(1.0), F.col("_words") / 500)

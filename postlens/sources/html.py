@@ -189,7 +189,8 @@ def extract_articles(pages: DataFrame, as_of, profile: str = "generic") -> DataF
     """Articles of each page row (page_id, url, html), several per page.
 
     Pages are parsed in Arrow batches where they lie; nothing is shuffled. A
-    page that cannot be parsed gives no rows.
+    page that cannot be parsed gives no rows. ``ingest_seq`` numbers the articles
+    in page order.
     """
     extract = PROFILES[profile]
     columns = ["page_id", "position", "title", "content", "url", "source", "author", "category"]
@@ -209,4 +210,5 @@ def extract_articles(pages: DataFrame, as_of, profile: str = "generic") -> DataF
         "category string",
     )
     now = as_time(as_of)
-    return found.withColumn("date", F.date_format(now, "yyyy-MM-dd HH:mm:ss")).withColumn("scraped_at", now)
+    dated = found.withColumn("date", F.date_format(now, "yyyy-MM-dd HH:mm:ss")).withColumn("scraped_at", now)
+    return dated.withColumn("ingest_seq", F.monotonically_increasing_id())

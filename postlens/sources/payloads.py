@@ -214,9 +214,11 @@ def parse_feeds(lines: DataFrame, column: str = "value") -> DataFrame:
 
 
 def _read_json(schema: str, shape: Callable[[DataFrame, object], DataFrame]):
+    """A reader that numbers the posts after shaping, so that the items of one response have numbers of their own."""
+
     def read(spark: SparkSession, path: str, as_of) -> DataFrame:
         payload = spark.read.schema(schema).json(path).withColumn("ingest_seq", _sequence())
-        return shape(payload, as_of)
+        return shape(payload, as_of).withColumn("ingest_seq", _sequence())
 
     return read
 
@@ -230,7 +232,7 @@ read_trending = _read_json(TRENDING, trending_tags)
 
 def read_feeds(spark: SparkSession, path: str, as_of) -> DataFrame:
     payload = spark.read.format("xml").option("rowTag", "channel").schema(FEED).load(path)
-    return feed_articles(payload.withColumn("ingest_seq", _sequence()), as_of)
+    return feed_articles(payload.withColumn("ingest_seq", _sequence()), as_of).withColumn("ingest_seq", _sequence())
 
 
 def newest_per_keyword(found: DataFrame, n: int, order: str = "ingest_seq") -> DataFrame:
@@ -260,6 +262,8 @@ def union_sources(sources: list[DataFrame]) -> DataFrame:
     """
     shaped = []
     for i, source in enumerate(sources):
+        if "ingest_seq" not in source.columns:
+            raise ValueError(f"source {i} has no ingest_seq; posts without one would be lost in later joins")
         posts = conform(source)
         shaped.append(posts.withColumn("ingest_seq", F.col("ingest_seq") + F.lit(i << 56)))
     result = shaped[0]
