@@ -34,8 +34,8 @@ from postlens.llm.shared import load, materialize, packed, session, text_or_empt
 
 LENGTH, GRAM = 400, 64
 HOT = 1000
-SHARD_STRETCHES = 5000
-BUCKET_WINDOWS = 500_000
+SHARD_STRETCHES = 2500
+BUCKET_WINDOWS = 200_000
 
 _random = np.random.default_rng(5)
 _VALUE = _random.integers(0, 1 << 64, (2, 256), dtype=np.uint64)
@@ -124,19 +124,24 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def suffix_array(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Suffix array and its inverse by doubling; the text ends with a symbol that is nowhere else."""
     n = len(text)
-    rank, depth = np.unique(text, return_inverse=True)[1].astype(np.int64), 1
-    while True:
+    wide, depth = int(text.max()).bit_length() + 1, 1
+    key = text.astype(np.int64)
+    while depth * wide * 2 < 64:  # the first symbols fit into one number
         after = np.zeros(n, dtype=np.int64)
-        after[: max(0, n - depth)] = rank[depth:] + 1
-        key = rank * (n + 1) + after
-        order = np.argsort(key, kind="stable")
+        after[: max(0, n - depth)] = key[depth:]
+        key = (key << (wide * depth)) | after
+        depth *= 2
+    while True:
+        order = np.argsort(key)
         ordered = key[order]
         new = np.append(0, np.cumsum(ordered[1:] != ordered[:-1]))
         rank = np.empty(n, dtype=np.int64)
         rank[order] = new
-        depth *= 2
         if new[-1] == n - 1:
             return order, rank
+        key = rank * (n + 1)
+        key[: max(0, n - depth)] += rank[depth:] + 1
+        depth *= 2
 
 
 def extended(text: np.ndarray, order: np.ndarray, rank: np.ndarray, least: int) -> np.ndarray:
@@ -151,7 +156,7 @@ def extended(text: np.ndarray, order: np.ndarray, rank: np.ndarray, least: int)
     run = np.append(0, np.cumsum(before[1:] != before[:-1]))
     valued = np.zeros(n + 1, dtype=bool)
     valued[n] = valued[0] = True
-    low, high = np.array([0]), np.array([n - 1])
+    low, high, symbols = np.array([0]), np.array([n - 1]), int(text.max()) + 1
     for _ in range(least):
         if not len(low):
             break
@@ -162,11 +167,10 @@ def extended(text: np.ndarray, order: np.ndarray, rank: np.ndarray, least: int)
             size = b - a + 1
             which = np.repeat(np.arange(len(a)), size)
             at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(a, size)
-            key = which * (int(text.max()) + 1) + before[at]
-            by = np.argsort(key, kind="stable")
-            edge = np.flatnonzero(np.append(True, np.diff(key[by]) != 0))
-            lows.append(back[at[by[edge]]])
-            highs.append(back[at[by[np.append(edge[1:], len(by)) - 1]]])
+            key = np.sort((which * symbols + before[at]) * n + at)
+            edge = np.flatnonzero(np.append(True, np.diff(key // n) != 0))
+            lows.append(back[key[edge] % n])
+            highs.append(back[key[np.append(edge[1:], len(key)) - 1] % n])
         low, high = np.concatenate(lows), np.concatenate(highs)
         new = ~valued[high + 1]
         low, high = low[new], high[new]
@@ -328,7 +332,8 @@ def remove_repeats(docs: DataFrame, keep_bytes: bool = False, most: int = HOT) -
     texts = docs.select("doc_id", F.xxhash64(text).alias("k"), text.alias("text"))
     marks = repeated_ranges(texts, most).groupBy("k").agg(F.collect_list(F.struct("a", "w")).alias("ranges"))
     copies = texts.groupBy("k").agg(F.count("*").alias("n")).filter("n > 1").select("k", F.lit(True).alias("copied"))
-    marks = marks.join(copies, "k", "full")
+    # a text of which there are copies goes as a whole, so its ranges aren't sent to each of them
+    marks = marks.join(copies, "k", "full").withColumn("ranges", F.when(F.col("copied").isNull(), F.col("ranges")))
     fields = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())]
     out = pa.schema(fields + [("kept", pa.binary())] * keep_bytes)
 
