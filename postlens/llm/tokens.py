@@ -17,6 +17,15 @@ CACHED_WORDS = 250_000
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
+def latin(text: str) -> bool:
+    """Whether all characters are of Latin-1, which compose with nothing and have lower cases of one character."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 class Encoder:
     """ids(texts) gives each text's ids as little-endian unsigned 32-bit bytes."""
 
@@ -28,6 +37,8 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(vocabulary) if os.sep not in vocabulary else vocabulary)
         self.tokenizer.encode_special_tokens = True
+        # the vocabulary's own lower-casing, done before the words are looked up where it is sure to be the same
+        self.lowers = self.encode(["A\u00c9"]) == self.encode(["a\u00e9"])
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.ends: dict[str, bytes] = {}
@@ -39,6 +50,8 @@ class Encoder:
     def ids(self, texts: list[str]) -> list[bytes]:
         out: list = [None] * len(texts)
         for i, text in enumerate(texts):
+            if self.lowers and latin(text):
+                text = text.lower()
             if text and " ".join(text.split()) == text.replace("\n", " "):
                 # a word keeps the white space before it: "\n" as it is, a blank as none, the first word a mark
                 words = text.replace("\n", " \n").split(" ")
