@@ -71,7 +71,7 @@ def readability(x: str) -> str:
 
 PLATFORM = "CASE user_id % 4 WHEN 0 THEN 'reddit' WHEN 1 THEN 'twitter' WHEN 2 THEN 'linkedin' ELSE 'quora' END"
 POSTS = f"""
-base AS (SELECT d.doc_id AS n, d.text, d.source AS src, e.* FROM documents d JOIN events e ON d.doc_id = e.event_id),
+base AS (SELECT coalesce(d.doc_id, e.event_id) AS n, d.text, d.source AS src, e.* FROM documents d FULL JOIN events e ON d.doc_id = e.event_id),
 posts AS MATERIALIZED (
   SELECT n AS ingest_seq, CAST(n AS VARCHAR) AS post_id,
     CASE WHEN n % 37 <> 5 THEN src END AS source,
@@ -129,7 +129,7 @@ def trend_ctes(part: str = "''", source: str = "posts", name: str = "trends", le
   FROM {k} k JOIN {source} p USING (ingest_seq), clock c),
 {name}_total AS (
   SELECT part, keyword, sum(hits) AS mentions, count(*) AS posts, count(*) FILTER (recent) AS recent,
-    coalesce(avg(s), 0.0) AS sentiment, min(ingest_seq * 1000 + rk) AS first_seen
+    coalesce(CAST(sum(CAST(round(s * 10000) AS BIGINT)) AS BIGINT) / 10000.0 / count(s), 0.0) AS sentiment, min(ingest_seq * 1000 + rk) AS first_seen
   FROM {name}_hit GROUP BY ALL),
 {name}_peak AS (
   SELECT part, keyword, date_trunc('hour', d) AS hour, count(*) AS n, min(ingest_seq * 1000 + rk) AS f
@@ -197,6 +197,12 @@ scores AS (
   FROM posts p LEFT JOIN hits USING (ingest_seq) GROUP BY ALL)"""
 
 
+def mean_of_scores(x: str = "sentiment_polarity") -> str:
+    """Mean of scores of four places to six, in whole numbers, so that a mean between two results is rounded as it is."""
+    total, n = f"CAST(sum(CAST(round({x} * 10000) AS BIGINT)) AS BIGINT)", f"count({x})"
+    return f"sign({total}) * ((200 * abs({total}) + {n}) // (2 * {n})) / 1e6"
+
+
 def label(p: str) -> str:
     return f"CASE WHEN {p} > 0.1 THEN 'positive' WHEN {p} < -0.1 THEN 'negative' ELSE 'neutral' END"
 
@@ -481,7 +487,7 @@ def oracle_queries() -> dict[str, str]:
         "word_count_stats": with_posts("SELECT round(avg(word_count), 6) AS mean, round(CAST(median(word_count) AS DOUBLE), 6) AS median, round(stddev_samp(word_count), 6) AS std, min(word_count) AS min, max(word_count) AS max FROM counted"),
         "sentiment_stats": with_posts("""SELECT round(avg(sentiment_polarity), 6) AS avg_sentiment, round(avg(CAST(sentiment_polarity > 0.1 AS DOUBLE)), 6) AS positive_ratio,
             round(avg(CAST(sentiment_polarity < -0.1 AS DOUBLE)), 6) AS negative_ratio, round(avg(CAST(abs(sentiment_polarity) <= 0.1 AS DOUBLE)), 6) AS neutral_ratio FROM posts"""),
-        "hourly_sentiment": with_posts(f"""SELECT {iso("date_trunc('hour', dated)")} AS hour, round(avg(sentiment_polarity), 6) AS avg_sentiment, count(*) AS article_count,
+        "hourly_sentiment": with_posts(f"""SELECT {iso("date_trunc('hour', dated)")} AS hour, {mean_of_scores()} AS avg_sentiment, count(*) AS article_count,
             round(coalesce(stddev_samp(sentiment_polarity), 0.0), 6) AS sentiment_volatility FROM posts WHERE sentiment_polarity <> 0 AND dated IS NOT NULL GROUP BY 1"""),
         "sentiment_distribution": with_posts(f"SELECT part AS platform, {rounded_mood} FROM mood", distribution("platform")),
         "sentiment_by_source": with_posts("""SELECT source, sign(s) * ((200 * abs(s) + n) // (2 * n)) / 1e6 AS avg_sentiment, n AS article_count FROM (
@@ -623,7 +629,7 @@ def oracle_queries() -> dict[str, str]:
             UNION ALL SELECT 'unique_sources', 1, 'sources', count(DISTINCT source) FROM posts
             UNION ALL SELECT 'trend', rank, topic || ' ' || direction, round(velocity * confidence, 6) FROM ctrends WHERE rank <= 10
             UNION ALL SELECT 'positive', 1, 'ratio', round(positive, 6) FROM mood UNION ALL SELECT 'negative', 1, 'ratio', round(negative, 6) FROM mood
-            UNION ALL SELECT 'hourly_sentiment', count(*), {iso("date_trunc('hour', dated)")}, round(avg(sentiment_polarity), 6) FROM texts WHERE sentiment_polarity <> 0 AND dated IS NOT NULL GROUP BY date_trunc('hour', dated)
+            UNION ALL SELECT 'hourly_sentiment', count(*), {iso("date_trunc('hour', dated)")}, {mean_of_scores()} FROM texts WHERE sentiment_polarity <> 0 AND dated IS NOT NULL GROUP BY date_trunc('hour', dated)
             UNION ALL SELECT 'insight', generate_subscripts(l, 1), unnest(l), 5 FROM lines""",
             "texts AS (SELECT * FROM counted WHERE body <> '' OR coalesce(title, '') <> '')", trend_ctes(source="texts", name="ctrends", least=3),
             distribution("''").replace("FROM posts)", "FROM texts)"), insight_ctes("texts", "ctrends")),
@@ -634,7 +640,7 @@ def oracle_queries() -> dict[str, str]:
             (SELECT count(*) > 0 FROM valid) AS analysis_success FROM clock""", cycle_filter, trend_ctes(source="valid", name="vtrends", least=3), insight_ctes("valid", "vtrends"),
             distribution("''").replace("mood AS", "vmood AS", 1).replace("FROM posts)", "FROM valid)")),
         "stream_hourly": f"""WITH s AS (SELECT ts, round(least(1.0, (value - 50) / 100), 4) AS p FROM documents JOIN events ON doc_id = event_id)
-            SELECT {iso("date_trunc('hour', ts)")} AS hour, count(*) AS posts, round(avg(nullif(p, 0)), 6) AS avg_sentiment FROM s
+            SELECT {iso("date_trunc('hour', ts)")} AS hour, count(*) AS posts, {mean_of_scores("nullif(p, 0)")} AS avg_sentiment FROM s
             WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 2 HOUR FROM s) GROUP BY date_trunc('hour', ts)""",
         "stream_dedupe": f"SELECT DISTINCT {chash('text')} AS content_hash FROM documents WHERE text <> ''",
         "stream_cycle": f"""WITH v AS (SELECT * FROM (SELECT doc_id, source, text AS body, {doc_title} AS title, NULL AS url FROM documents WHERE text <> ''

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlens import constants as C
@@ -38,6 +38,31 @@ def _candidates(text: Column, min_length: int, stop_words: Sequence[str], terms:
     return F.concat(kept, found)
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value worked out once however often it is used."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _ranked(candidates: Column) -> Column:
+    """Candidates folded to one (order, position, keyword) each, best first; order is minus the hits.
+
+    Sorted by keyword, equal keywords are a run, which begins with the run's
+    first position, since hits of words come before those of dictionary terms.
+    """
+
+    def folded(s: Column) -> Column:
+        places = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i)["keyword"] != F.get(s, i - 1)["keyword"]))
+
+        def run(m: Column, i: Column, j: Column) -> Column:
+            members = F.slice(s, i + 1, F.coalesce(F.get(m, j + 1), F.size(s)) - i)
+            hits = F.aggregate(members, F.lit(0), lambda n, e: n + e["hits"])
+            return F.struct((-hits).alias("order"), F.get(s, i)["position"].alias("position"), F.get(s, i)["keyword"].alias("keyword"))
+
+        return _let(places, lambda m: F.array_sort(F.transform(m, lambda i, j: run(m, i, j))))
+
+    return _let(F.array_sort(candidates), lambda s: F.when(F.size(s) > 0, folded(s)))
+
+
 def extract_keywords(
     posts: DataFrame,
     text: Column,
@@ -50,24 +75,18 @@ def extract_keywords(
 ) -> DataFrame:
     """Rows (keys, carry, keyword, hits, rank): the ``top_n`` keywords of each text.
 
-    The texts are shuffled once, by key, before they are cut into words. The
-    count and the rank per text then need no further shuffle, so words never
-    cross the network; only whole texts do. Ties go to the earlier word, then
-    to the order of ``terms``.
+    A post is a row, so its words are sorted, counted and ranked in the row;
+    nothing is shuffled. Ties go to the earlier word, then to the order of
+    ``terms``. Keywords beyond ``top_n`` are not counted in later totals.
     """
     plain = F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}_\t-\r\x1c-\x20\x85\p{Z}]", " ")
-    located = posts.select(*keys, *carry, plain.alias("_text")).repartition(*keys)
-    hits = located.select(
-        *keys, *carry, F.inline(_candidates(F.col("_text"), min_length, stop_words, terms))
-    )
-    counted = hits.groupBy(*keys, "keyword").agg(
-        F.sum("hits").alias("hits"),
-        F.min("position").alias("_position"),
-        *[F.any_value(c).alias(c) for c in carry],
+    located = posts.select(*keys, *carry, plain.alias("_text"))
+    best = F.slice(_ranked(_candidates(F.col("_text"), min_length, stop_words, terms)), 1, top_n)
+    placed = located.select(*keys, *carry, F.posexplode(best).alias("_place", "_best"))
+    return placed.select(
+        *keys, *carry, F.col("_best.keyword").alias("keyword"), (-F.col("_best.order")).cast("long").alias("hits"),
+        (F.col("_place") + 1).alias("rank"),
     )
-    order = Window.partitionBy(*keys).orderBy(F.desc("hits"), "_position")
-    ranked = counted.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top_n)
-    return ranked.select(*keys, *carry, "keyword", "hits", "rank")
 
 
 def post_text() -> Column:

@@ -51,7 +51,8 @@ def keyword_trends(
 
     A post without a readable date counts as posted at ``as_of``. Keywords are
     first summed per (keyword, recent hour) and then per keyword, so both the
-    totals and the peak hour come from one pass over the texts.
+    totals and the peak hour come from one pass over the texts. ``per_post``
+    keywords of a post take part, its most frequent ones.
     """
     now = as_time(as_of)
     dated = posts.withColumn("_date", F.coalesce(normalize_datetime(F.col("date")), now))
@@ -65,7 +66,7 @@ def keyword_trends(
     per_hour = per_text.groupBy(*by, "keyword", "_hour").agg(
         F.sum("hits").alias("_hits"),
         F.count("*").alias("_posts"),
-        F.sum("_sentiment").alias("_sum"),
+        F.sum(F.col("_sentiment").cast("decimal(28,10)")).alias("_sum"),  # exact, so the order of rows is no matter
         F.count("_sentiment").alias("_scored"),
         F.min(F.struct("ingest_seq", F.col("rank").alias("place"))).alias("_first"),
     )
@@ -74,7 +75,7 @@ def keyword_trends(
         F.sum("_hits").alias("mentions"),
         F.sum("_posts").alias("_posts"),
         F.coalesce(F.sum(F.when(in_window, F.col("_posts"))), F.lit(0)).alias("_recent"),
-        F.coalesce(F.try_divide(F.sum("_sum"), F.sum("_scored")), F.lit(0.0)).alias("sentiment"),
+        F.coalesce(F.try_divide(F.sum("_sum").cast("double"), F.sum("_scored")), F.lit(0.0)).alias("sentiment"),
         F.max_by(
             "_hour", F.when(in_window, F.struct("_posts", (-F.col("_first.ingest_seq")).alias("seq")))
         ).alias("peak_time"),

@@ -1,7 +1,9 @@
 """Posts derived from the driver tables, the input of the registered queries.
 
-A post is a document joined to the event of the same number. NULLs, date
-formats and user names vary with the number so that every rule is exercised.
+A post is an event with the document of the same number as its text. An event
+without a document is a post without text, and a document without an event one
+without a time, so that every row of both tables is there. NULLs, date formats
+and user names vary with the number so that every rule is exercised.
 """
 
 from __future__ import annotations
@@ -59,8 +61,8 @@ def _event_time() -> Column:
 def posts(spark: SparkSession, directory: str) -> DataFrame:
     documents = table(spark, directory, "documents")
     events = table(spark, directory, "events")
-    joined = documents.join(events, documents.doc_id == events.event_id)
-    n = F.col("doc_id")
+    joined = documents.join(events, documents.doc_id == events.event_id, "full")
+    n = F.coalesce("doc_id", "event_id")
     number = n.cast("string")
     t = _event_time()
     user = F.concat(F.lit("u"), F.col("user_id").cast("string"))
@@ -108,13 +110,6 @@ def _next_hour(events: DataFrame) -> dt.datetime:
 
 @lru_cache(maxsize=64)
 def as_of(spark: SparkSession, directory: str) -> dt.datetime:
-    documents = spark.read.parquet(f"{directory}/documents.parquet").select("doc_id")
-    events = table(spark, directory, "events").select("event_id", "ts")
-    return _next_hour(events.join(documents, F.col("event_id") == F.col("doc_id"), "left_semi"))
-
-
-@lru_cache(maxsize=64)
-def events_as_of(spark: SparkSession, directory: str) -> dt.datetime:
     return _next_hour(table(spark, directory, "events"))
 
 

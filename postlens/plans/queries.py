@@ -14,7 +14,7 @@ from postlens.functions.dates import as_time, hour_key, iso, normalize_datetime,
 from postlens.operators import behavior as B
 from postlens.operators import common, dedup, enrich, insights, keywords, language, recommend, sentiment, stats, trends
 from postlens.plans import advanced, cycle, report
-from postlens.plans.fixtures import as_of, counted_posts, events_as_of, posts, table, tagged_events
+from postlens.plans.fixtures import as_of, counted_posts, posts, table, tagged_events
 from postlens.schema import conform
 from postlens.session import materialize, small_table, work_folder
 from postlens.sources import html, payloads, store
@@ -405,7 +405,7 @@ def related_keywords(spark, d):
 
 
 def _hashtags(spark, d) -> DataFrame:
-    return trends.hashtag_trends(tagged_events(spark, d), events_as_of(spark, d))
+    return trends.hashtag_trends(tagged_events(spark, d), as_of(spark, d))
 
 
 def hashtag_trends(spark, d):
@@ -451,7 +451,7 @@ def trend_advice(spark, d):
 
 def trend_run(spark, d):
     run = trends.trend_run(
-        materialize(tagged_events(spark, d), "events"), shared_posts(spark, d), events_as_of(spark, d), heads=HEADS
+        materialize(tagged_events(spark, d), "events"), shared_posts(spark, d), as_of(spark, d), heads=HEADS
     )
     return run.groupBy("section").agg(F.count("*").alias("rows"))
 
