@@ -445,6 +445,9 @@ def oracle_queries() -> dict[str, str]:
         """peak AS (SELECT platform AS part, hour(created) AS h FROM posts GROUP BY part, h QUALIFY row_number() OVER (PARTITION BY part ORDER BY count(*) DESC, min(ingest_seq)) = 1)""")
     cycle_filter = f"""valid AS (SELECT * FROM (SELECT *, {n_words('body')} AS word_count FROM posts WHERE body <> ''
         QUALIFY row_number() OVER (PARTITION BY {chash('body')} ORDER BY ingest_seq) = 1) WHERE len({ISSUES}) = 0)"""
+    cycle_scores = SENTIMENT.replace(lst(NEGATIONS), lst(C.NEGATIONS))
+    scored_filter = cycle_filter.replace("valid AS (SELECT * FROM (", "valid AS (SELECT v.* REPLACE (pol AS sentiment_polarity) FROM (", 1).replace(
+        f") WHERE len({ISSUES}) = 0)", f") v JOIN scores USING (ingest_seq) WHERE len({ISSUES}) = 0)")
     queries = {
         "normalize_dates": with_posts(f"SELECT ingest_seq, date, {iso('dated')} AS normalized FROM posts"),
         "event_hour": with_posts("SELECT ingest_seq, strftime(created, '%Y-%m-%d-%H') AS hour_key, strftime(created, '%Y-%m-%d-%H') AS written_hour_key FROM posts"),
@@ -630,6 +633,8 @@ def oracle_queries() -> dict[str, str]:
             UNION ALL SELECT 'trend', rank, topic || ' ' || direction, round(velocity * confidence, 6) FROM ctrends WHERE rank <= 10
             UNION ALL SELECT 'positive', 1, 'ratio', round(positive, 6) FROM mood UNION ALL SELECT 'negative', 1, 'ratio', round(negative, 6) FROM mood
             UNION ALL SELECT 'hourly_sentiment', count(*), {iso("date_trunc('hour', dated)")}, {mean_of_scores()} FROM texts WHERE sentiment_polarity <> 0 AND dated IS NOT NULL GROUP BY date_trunc('hour', dated)
+            UNION ALL SELECT 'source', 1, coalesce(source, 'Unknown'), count(*) FROM posts GROUP BY 3
+            UNION ALL SELECT 'source_sentiment', count(*), coalesce(source, 'Unknown'), {mean_of_scores()} FROM texts WHERE sentiment_polarity <> 0 AND dated IS NOT NULL GROUP BY 3
             UNION ALL SELECT 'insight', generate_subscripts(l, 1), unnest(l), 5 FROM lines""",
             "texts AS (SELECT * FROM counted WHERE body <> '' OR coalesce(title, '') <> '')", trend_ctes(source="texts", name="ctrends", least=3),
             distribution("''").replace("FROM posts)", "FROM texts)"), insight_ctes("texts", "ctrends")),
@@ -637,7 +642,7 @@ def oracle_queries() -> dict[str, str]:
             (SELECT count(DISTINCT coalesce(source, 'Unknown')) FROM valid) AS sources_accessed, (SELECT len(l) FROM lines) AS total_insights,
             (SELECT least(5, count(*)) FROM vtrends WHERE rank <= 10) + (SELECT CAST(positive > 0.7 OR negative > 0.4 AS INTEGER) FROM vmood)
               + (SELECT CAST(count(*) > 50 AS INTEGER) + CAST(count(DISTINCT coalesce(source, 'Unknown')) > 5 AS INTEGER) FROM valid) + 3 AS total_recommendations,
-            (SELECT count(*) > 0 FROM valid) AS analysis_success FROM clock""", cycle_filter, trend_ctes(source="valid", name="vtrends", least=3), insight_ctes("valid", "vtrends"),
+            (SELECT count(*) > 0 FROM valid) AS analysis_success FROM clock""", cycle_scores, scored_filter, trend_ctes(source="valid", name="vtrends", least=3), insight_ctes("valid", "vtrends"),
             distribution("''").replace("mood AS", "vmood AS", 1).replace("FROM posts)", "FROM valid)")),
         "stream_hourly": f"""WITH s AS (SELECT ts, round(least(1.0, (value - 50) / 100), 4) AS p FROM documents JOIN events ON doc_id = event_id)
             SELECT {iso("date_trunc('hour', ts)")} AS hour, count(*) AS posts, {mean_of_scores("nullif(p, 0)")} AS avg_sentiment FROM s
@@ -647,4 +652,5 @@ def oracle_queries() -> dict[str, str]:
               QUALIFY row_number() OVER (PARTITION BY {chash('text')} ORDER BY doc_id) = 1) WHERE len({ISSUES}) = 0)
             SELECT 'analysis_batch_0' AS analysis_id, count(*) AS total_items_collected, count(DISTINCT source) AS sources_accessed FROM v""",
     }
+    queries["cycle_stored"] = f"SELECT 'analysis_1' AS analysis_id, * FROM ({queries['cycle_analysis']})"
     return queries

@@ -76,7 +76,7 @@ def _opinionated(posts: DataFrame) -> DataFrame:
 def hourly_sentiment(posts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     p = F.col("sentiment_polarity")
     return _opinionated(posts).groupBy(*by, F.date_trunc("hour", "_date").alias("hour")).agg(
-        F.avg(p).alias("avg_sentiment"),
+        exact_mean("sentiment_polarity").alias("avg_sentiment"),
         F.count("*").alias("article_count"),
         F.coalesce(F.stddev_samp(p), F.lit(0.0)).alias("sentiment_volatility"),
     )

@@ -36,6 +36,7 @@ class Analysis:
     distribution: DataFrame
     hourly: DataFrame
     insights: DataFrame
+    by_source: DataFrame
     figures: DataFrame
 
 
@@ -69,6 +70,7 @@ def analyze(
         distribution=stats.sentiment_distribution(texts, by),
         hourly=stats.hourly_sentiment(texts, by),
         insights=insights(texts, trends, by).where(F.col("insight_no") <= CYCLE_INSIGHTS),
+        by_source=stats.sentiment_by_source(texts, by),
         figures=groups,
     )
 
@@ -93,6 +95,8 @@ def analysis_rows(analysis: Analysis, by: Sequence[str] = ()) -> DataFrame:
         rows(analysis.distribution, "positive", F.lit(1), F.lit("ratio"), F.col("positive")),
         rows(analysis.distribution, "negative", F.lit(1), F.lit("ratio"), F.col("negative")),
         rows(analysis.hourly, "hourly_sentiment", F.col("article_count"), iso(F.col("hour")), F.col("avg_sentiment")),
+        rows(analysis.sources, "source", F.lit(1), F.col("source"), F.col("n")),
+        rows(analysis.by_source, "source_sentiment", F.col("article_count"), F.col("source"), F.col("avg_sentiment")),
         rows(analysis.insights, "insight", F.col("insight_no"), F.col("insight"), F.lit(5)),
     ]
     whole = parts[0]
@@ -135,9 +139,12 @@ def run_cycle(
     near: bool = True,
     lexicon: DataFrame | None = None,
     analysis_id: str | None = None,
+    details_path: str | None = None,
 ) -> DataFrame:
     """Run a cycle on canonical posts and return its summary; store it where paths are given.
 
+    ``details_path`` takes the analysis itself: trends, sentiment, hours, sources and insights as rows.
+
     The enriched posts are written once to the shared work folder, since every
     result of the cycle reads them.
     """
@@ -156,5 +163,7 @@ def run_cycle(
     if recommendations_path is not None:
         rows = store.recommendation_rows(recommendations, name, now)
         store.save_recommendations(rows, recommendations_path)
+    if details_path is not None:
+        store.save_details(analysis_rows(analysis, by).withColumn("analysis_id", name), details_path)
     # The stored rows are the result: reading them back does not run the cycle again.
     return store.read_analyses(posts.sparkSession, analyses_path)

@@ -813,13 +813,26 @@ def cycle_analysis(spark, d):
 
 
 def cycle_summary(spark, d):
-    """A cycle over the posts with exact dedupe; sentiment as delivered."""
+    """A cycle over the posts with exact dedupe, which SQL can express, and scored sentiment."""
     now = as_of(spark, d)
-    enriched = materialize(cycle.collect_posts(posts(spark, d), now, near=False, score_sentiment=False), "enriched")
+    enriched = materialize(cycle.collect_posts(posts(spark, d), now, near=False, lexicon=lexicon(spark)), "enriched")
     analysis = cycle.analyze(enriched, now, terms=TERMS)
     return cycle.cycle_summary(enriched, analysis, cycle.recommend(analysis, now), now)
 
 
+def cycle_stored(spark, d):
+    """The analysis of a cycle, stored and read back."""
+    path = work_folder(spark, "details")
+    rows = cycle.analysis_rows(cycle.analyze(shared_posts(spark, d), as_of(spark, d), terms=TERMS))
+    store.save_details(rows.withColumn("analysis_id", F.lit("analysis_1")), path)
+    return rounded(store.read_details(spark, path))
+
+
+def cycle_near(spark, d):
+    """A whole cycle over the posts, with near dedupe and scored sentiment."""
+    return cycle.run_cycle(posts(spark, d), as_of(spark, d), lexicon=lexicon(spark))
+
+
 # --- streams ----------------------------------------------------------------
 
 
@@ -879,7 +892,7 @@ QUERIES: dict[str, Query] = {
         recommendations_by_analysis, ingest_reddit, ingest_stackoverflow, ingest_hackernews, ingest_tweets,
         ingest_rss, ingest_trending, extract_articles_blocks, extract_articles_light, keyword_search, raw_envelope,
         load_raw, load_latest_analysis, upsert_analysis, export_csv, unified_posts, unified_by_family, cycle_analysis,
-        cycle_summary, stream_hourly, stream_dedupe, stream_cycle,
+        cycle_summary, cycle_stored, cycle_near, stream_hourly, stream_dedupe, stream_cycle,
     )
 }
 QUERIES["insights"] = insight_lines

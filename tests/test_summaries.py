@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 
 from postlens.operators import behavior as B
-from postlens.operators import insights, recommend, stats, trends
+from postlens.operators import enrich, insights, recommend, sentiment, stats, trends
 from postlens.operators.keywords import extract_keywords, post_text
 from postlens.plans import cycle
 
@@ -110,3 +110,35 @@ def test_cycle_by_community_equals_cycles_apart(spark):
     for c in "ab":
         alone = cycle.analysis_rows(cycle.analyze(posts.where(f"c = '{c}'"), NOW)).collect()
         assert sorted(map(tuple, alone), key=str) == sorted((tuple(r)[1:] for r in together if r.c == c), key=str)
+
+
+def test_sentiment_in_the_row_equals_the_join(spark, monkeypatch):
+    lexicon = spark.createDataFrame([("good", 0.7, 0.6, 1.0), ("bad", -0.6, 0.9, 1.0), ("very", 0.2, 0.3, 1.3)], sentiment.LEXICON_SCHEMA)
+    texts = ["very good, not bad", "bad very very GOOD good", "", None, "none of these", "not very good"]
+    posts = frame(spark, [{"content": t} for t in texts])
+    read = lambda df: [tuple(r) for r in df.select("ingest_seq", *sentiment.SCORES).orderBy("ingest_seq").collect()]
+    in_row = read(sentiment.lexicon_sentiment(posts, lexicon))
+    empty = read(sentiment.lexicon_sentiment(posts, lexicon.limit(0)))
+    monkeypatch.setattr(sentiment, "IN_ROW", 2)
+    assert in_row == read(sentiment.lexicon_sentiment(posts, lexicon)) and len(in_row) == len(texts)
+    # very 0.2, good 0.7 * 1.3, not bad -0.6 * -0.5
+    assert in_row[0][1:] == (0.47, 0.6, "positive") and in_row[3][1:] == (0.0, 0.0, "neutral")
+    assert {r[1:] for r in empty} == {(0.0, 0.0, "neutral")}
+
+
+def test_texts_are_worked_on_without_a_shuffle(spark):
+    posts = frame(spark, [{"content": "some words about rain", "title": "some title"}])
+    for df in (enrich.enrich(posts, NOW), extract_keywords(posts, post_text())):
+        assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stored_cycle_holds_its_analysis(spark, tmp_path):
+    from postlens.sources import store
+
+    rows = [{"source": f"s{i % 2}", "title": "what a day it is", "content": f"Rain falls on town {i} and people talk about it. It may go on for days.", "date": "2024-01-02T08:00:00", "url": f"https://a.b/{i}"} for i in range(6)]
+    paths = [str(tmp_path / n) for n in ("analyses", "recommendations", "details")]
+    for _ in range(2):  # the second run replaces the first
+        cycle.run_cycle(frame(spark, rows), NOW, paths[0], paths[1], near=False, analysis_id="a", details_path=paths[2])
+    stored = store.read_details(spark, paths[2])
+    assert {r.label: r.value for r in stored.where("section = 'source'").collect()} == {"s0": 3.0, "s1": 3.0}
+    assert stored.where("section = 'total_items'").count() == 1 and stored.where("section = 'insight'").count() >= 1
