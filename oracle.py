@@ -449,7 +449,11 @@ def oracle_queries() -> dict[str, str]:
     scored_filter = cycle_filter.replace("valid AS (SELECT * FROM (", "valid AS (SELECT v.* REPLACE (pol AS sentiment_polarity) FROM (", 1).replace(
         f") WHERE len({ISSUES}) = 0)", f") v JOIN scores USING (ingest_seq) WHERE len({ISSUES}) = 0)")
     queries = {
-        "normalize_dates": with_posts(f"SELECT ingest_seq, date, {iso('dated')} AS normalized FROM posts"),
+        "normalize_dates": with_posts(f"""SELECT ingest_seq, CASE ingest_seq % 11 WHEN 1 THEN strftime(event_time, '%Y/%m/%d %H:%M:%S') WHEN 2 THEN strftime(event_time, '%b %-d, %Y')
+              WHEN 3 THEN strftime(event_time, '%a %b %d %H:%M:%S +0000 %Y') WHEN 4 THEN strftime(event_time, '%B %-d, %Y %H:%M')
+              WHEN 5 THEN strftime(event_time, '%m/%d/%Y %H:%M:%S') ELSE date END AS date,
+            {iso("""CASE ingest_seq % 11 WHEN 1 THEN event_time WHEN 2 THEN date_trunc('day', event_time) WHEN 3 THEN event_time
+              WHEN 4 THEN date_trunc('minute', event_time) WHEN 5 THEN event_time ELSE dated END""")} AS normalized FROM posts"""),
         "event_hour": with_posts("SELECT ingest_seq, strftime(created, '%Y-%m-%d-%H') AS hour_key, strftime(created, '%Y-%m-%d-%H') AS written_hour_key FROM posts"),
         "clean_text": with_posts(f"SELECT ingest_seq, lower({clean('content', True)}) AS clean, lower({clean('content', False)}) AS plain FROM posts"),
         "extract_entities": with_posts(entities),
@@ -523,10 +527,10 @@ def oracle_queries() -> dict[str, str]:
         "top_content": top_posts("''"),
         "top_content_by_platform": top_posts("platform"),
         "activity_spikes": """WITH h AS (SELECT strftime(ts, '%Y-%m-%d-%H') AS hour, count(*) AS n FROM events GROUP BY hour), s AS (SELECT avg(n) AS m, stddev_pop(n) AS sd FROM h)
-            SELECT hour, n AS count, round(n - m, 6) AS deviation FROM h, s WHERE n > m + 1.5 * sd""",
-        "sentiment_anomalies": with_posts("""SELECT ingest_seq, left(body, 100) || '...' AS excerpt, round(sentiment_polarity, 6) AS sentiment, created_at AS posted
-            FROM posts, (SELECT avg(sentiment_polarity) AS m, stddev_pop(sentiment_polarity) AS sd FROM posts WHERE body <> '')
-            WHERE body <> '' AND abs(sentiment_polarity - m) > 1.5 * sd"""),
+            SELECT hour, n AS count, round(n - m, 6) AS deviation, k AS deviations FROM h, s, (SELECT unnest([1.5::DOUBLE, 2.0::DOUBLE]) AS k) WHERE n > m + k * sd""",
+        "sentiment_anomalies": with_posts("""SELECT ingest_seq, left(body, 100) || '...' AS excerpt, round(sentiment_polarity, 6) AS sentiment, created_at AS posted, k AS deviations
+            FROM posts, (SELECT avg(sentiment_polarity) AS m, stddev_pop(sentiment_polarity) AS sd FROM posts WHERE body <> ''), (SELECT unnest([1.5::DOUBLE, 2.0::DOUBLE]) AS k)
+            WHERE body <> '' AND abs(sentiment_polarity - m) > k * sd"""),
         "topic_predictions": with_posts(rf"""SELECT row_number() OVER (ORDER BY n DESC, f) AS rank, w AS topic, n AS mentions, CASE WHEN n > 5 THEN 'increasing' ELSE 'stable' END AS predicted_growth
             FROM (SELECT w, count(*) AS n, min(ingest_seq * 1000000 + pos) AS f FROM (
               SELECT ingest_seq, unnest(l) AS w, generate_subscripts(l, 1) AS pos FROM (SELECT ingest_seq, string_split_regex(lower(body), '[^\p{{L}}\p{{N}}_]+') AS l FROM posts))

@@ -8,6 +8,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
+# Dates that do not start with a year, after a weekday is taken off.
+WRITTEN_FORMATS = [
+    "d MMM yyyy HH:mm:ss Z",
+    "MMM d HH:mm:ss Z yyyy",
+    "MMM d, yyyy[ HH:mm[:ss]]",
+    "MMMM d, yyyy[ HH:mm[:ss]]",
+    "d MMM yyyy[ HH:mm[:ss]]",
+    "M/d/yyyy[ H:mm[:ss]]",
+]
 
 
 def as_time(value) -> Column:
@@ -26,11 +35,17 @@ def hours_before(moment: Column, hours: int) -> Column:
 
 
 def normalize_datetime(text: Column) -> Column:
-    """ISO or RFC 822 date text as a UTC timestamp; anything else is NULL."""
-    iso = F.when(text.rlike(r"^\s*\d{4}"), text).try_cast("timestamp")
-    rfc = F.regexp_replace(F.trim(text), r"^[A-Za-z]{3},\s*", "")
-    rfc = F.regexp_replace(rfc, r"\s(?:GMT|UTC|UT|Z)$", " +0000")
-    return F.coalesce(iso, F.try_to_timestamp(rfc, F.lit("d MMM yyyy HH:mm:ss Z")))
+    """Date text as a UTC timestamp; anything else is NULL.
+
+    Read are ISO dates, also with slashes, RFC 822, the form of raw tweets
+    (weekday, month, day, time, offset, year), month names with day and year,
+    and month/day/year.
+    """
+    dashed = F.regexp_replace(text, r"^(\s*\d{4})/(\d{1,2})/(\d{1,2})", "$1-$2-$3")
+    iso = F.when(text.rlike(r"^\s*\d{4}"), dashed).try_cast("timestamp")
+    written = F.regexp_replace(F.trim(text), r"^(?:[A-Za-z]{3},\s*|(?:Mon|Tue|Wed|Thu|Fri|Sat|Sun)\s+)", "")
+    written = F.regexp_replace(written, r"\s(?:GMT|UTC|UT|Z)$", " +0000")
+    return F.coalesce(iso, *[F.try_to_timestamp(written, F.lit(f)) for f in WRITTEN_FORMATS])
 
 
 def wall_clock(text: Column) -> Column:

@@ -70,7 +70,17 @@ def shared_posts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def normalize_dates(spark, d):
-    return posts(spark, d).select("ingest_seq", "date", iso(normalize_datetime(F.col("date"))).alias("normalized"))
+    n, t = F.col("ingest_seq"), F.col("event_time")
+    date = (
+        F.when(n % 11 == 1, F.date_format(t, "yyyy/MM/dd HH:mm:ss"))
+        .when(n % 11 == 2, F.date_format(t, "MMM d, yyyy"))
+        .when(n % 11 == 3, F.date_format(t, "EEE MMM dd HH:mm:ss '+0000' yyyy"))
+        .when(n % 11 == 4, F.date_format(t, "MMMM d, yyyy HH:mm"))
+        .when(n % 11 == 5, F.date_format(t, "MM/dd/yyyy HH:mm:ss"))
+        .otherwise(F.col("date"))
+    )
+    dated = posts(spark, d).select("ingest_seq", date.alias("date"))
+    return dated.withColumn("normalized", iso(normalize_datetime(F.col("date"))))
 
 
 def event_hour(spark, d):
@@ -336,11 +346,13 @@ def _event_posts(spark, d) -> DataFrame:
 
 
 def activity_spikes(spark, d):
-    return rounded(B.activity_spikes(_event_posts(spark, d), deviations=1.5))
+    at = lambda k: B.activity_spikes(_event_posts(spark, d), deviations=k).withColumn("deviations", F.lit(k))
+    return rounded(at(1.5).unionByName(at(2.0)))
 
 
 def sentiment_anomalies(spark, d):
-    return rounded(B.sentiment_anomalies(posts(spark, d), deviations=1.5))
+    at = lambda k: B.sentiment_anomalies(posts(spark, d), deviations=k).withColumn("deviations", F.lit(k))
+    return rounded(at(1.5).unionByName(at(2.0)))
 
 
 def topic_predictions(spark, d):
@@ -837,9 +849,13 @@ def cycle_near(spark, d):
 
 
 def _post_stream(spark, d) -> DataFrame:
-    """The documents file as a stream, joined to the events as a table, shaped like posts."""
+    """The documents file as a stream of posts."""
     schema = table(spark, d, "documents").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(d)
+    return _as_posts(spark, d, spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(d))
+
+
+def _as_posts(spark, d, stream: DataFrame) -> DataFrame:
+    """A stream of documents joined to the events as a table, shaped like posts."""
     events = table(spark, d, "events")
     t = F.col("ts").cast("timestamp")
     joined = stream.join(events, stream.doc_id == events.event_id)
@@ -858,10 +874,13 @@ def stream_hourly(spark, d):
 
 
 def stream_dedupe(spark, d):
-    out, state = work_folder(spark, "unique"), work_folder(spark, "state")
-    unique = jobs.dedupe_stream(_post_stream(spark, d)).select("content_hash")
-    jobs.run_available(unique, out, state).awaitTermination()
-    return spark.read.schema("content_hash string").parquet(out)
+    """Documents landed as several files, three to a batch; copies in different batches are found as well."""
+    landed, out, state = (work_folder(spark, n) for n in ("landed", "unique", "state"))
+    documents = table(spark, d, "documents")
+    documents.write.parquet(landed)
+    stream = spark.readStream.schema(documents.schema).option("maxFilesPerTrigger", 3).parquet(landed)
+    jobs.run_dedupe(_as_posts(spark, d, stream), out, state).awaitTermination()
+    return spark.read.schema("content_hash string, batch long").parquet(out).select("content_hash")
 
 
 def stream_cycle(spark, d):

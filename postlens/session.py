@@ -94,6 +94,22 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def cleanup(spark: SparkSession) -> None:
+    """Delete what this application wrote to the shared folder: stored frames, checkpoints, stream state.
+
+    Spark gives each application a folder of its own in there, so nothing of
+    another one is touched. Frames that still read those files end with it.
+    """
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        return
+    folder = sc._jvm.org.apache.hadoop.fs.Path(sc.getCheckpointDir())
+    files = folder.getFileSystem(sc._jsc.hadoopConfiguration())
+    if files.exists(folder):
+        for entry in files.listStatus(folder):
+            files.delete(entry.getPath(), True)
+
+
 def small_table(spark: SparkSession, rows: list[tuple], schema: str | T.StructType) -> DataFrame:
     """A driver-side list as a local relation.
 

@@ -15,8 +15,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from postlens.functions import text as X
 from postlens.functions.dates import first_written, normalize_datetime
+from postlens.operators.dedup import dedupe_exact
 from postlens.plans.cycle import run_cycle
 from postlens.schema import ddl
+from postlens.session import materialize
 
 LATENESS = "2 hours"
 
@@ -52,6 +54,34 @@ def dedupe_stream(posts: DataFrame, key: str = "content", lateness: str = LATENE
     return hashed.withWatermark("event_time", lateness).dropDuplicatesWithinWatermark(["content_hash"])
 
 
+def run_dedupe(
+    stream: DataFrame, path: str, checkpoint: str, key: str = "content", order: str = "ingest_seq"
+) -> StreamingQuery:
+    """The first post of each content hash over all batches, however far apart they are.
+
+    Kept posts are a table with a folder per batch, and its hashes are what a
+    new batch is held against: only that column is read. A batch that is run
+    again after a failure looks at the batches before it and replaces its own
+    folder. Where copies come within a known time, ``dedupe_stream`` needs no
+    such history.
+    """
+
+    def keep_new(batch: DataFrame, number: int) -> None:
+        landed = materialize(batch, "batch")
+        fresh = dedupe_exact(landed, key, order).withColumn("content_hash", X.content_hash(F.col(key)))
+        if number > 0:
+            history = batch.sparkSession.read.schema("content_hash string, batch long").parquet(path)
+            fresh = fresh.join(history.where(F.col("batch") < number).select("content_hash"), "content_hash", "left_anti")
+        fresh.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return (
+        stream.writeStream.foreachBatch(keep_new)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def run_available(
     stream: DataFrame, path: str, checkpoint: str, mode: str = "append"
 ) -> StreamingQuery:

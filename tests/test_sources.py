@@ -2,6 +2,9 @@
 
 import datetime as dt
 import json
+import subprocess
+import sys
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -147,6 +150,47 @@ def test_streams_equal_batches(spark, tmp_path):
     assert unique == {r[0] for r in dedupe_exact(batch).select(X.content_hash(F.col("content"))).collect()}
 
 
+def test_dedupe_across_batches_and_runs(spark, tmp_path):
+    """Copies far apart in time and in different batches and runs are found."""
+    rows = [{"ingest_seq": i, "content": f"text number {i % 13}" if i % 5 else None, "date": f"2024-01-{1 + i % 28:02d}T00:00:00"} for i in range(60)]
+    folder = tmp_path / "posts"
+    folder.mkdir()
+    out, state = str(tmp_path / "kept"), str(tmp_path / "state")
+    for run in range(2):
+        for part in range(2 * run, 2 * run + 2):
+            (folder / f"{part}.json").write_text("\n".join(json.dumps(r) for r in rows[part * 15:part * 15 + 15]))
+        stream = jobs.read_post_stream(spark, str(folder), files_per_batch=1)
+        jobs.run_dedupe(stream, out, state).awaitTermination()
+    kept = spark.read.parquet(out)
+    assert kept.select("batch").distinct().count() >= 1 and len(list((tmp_path / "kept").glob("batch=*"))) == 4
+    hashes = sorted(r[0] for r in kept.select("content_hash").collect())
+    batch = spark.read.schema(ddl()).json(str(folder))
+    assert hashes == sorted(r[0] for r in dedupe_exact(batch).select(X.content_hash(F.col("content"))).collect())
+
+
+def test_cleanup_empties_the_work_folder(tmp_path):
+    """In a session of its own process, since a clean-up ends what other tests have stored."""
+    code = f"""
+import os
+from postlens.session import cleanup, local_session, materialize
+spark = local_session(cores="2", partitions=2, memory="1g")
+cleanup(spark)
+spark.sparkContext.setCheckpointDir({str(tmp_path)!r})
+stored = materialize(spark.range(9), "stored")
+assert stored.checkpoint().count() == 9
+(own,) = os.listdir({str(tmp_path)!r})
+own = os.path.join({str(tmp_path)!r}, own)
+other = os.path.join({str(tmp_path)!r}, "other")
+open(other, "w").close()
+assert os.listdir(own)
+cleanup(spark)
+assert not os.listdir(own) and os.path.exists(other)
+"""
+    root = Path(__file__).parents[1]
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr[-2000:]
+
+
 def test_cycle_stream_stores_once_per_batch(spark, tmp_path):
     text = "One sentence with some words in it. Another sentence follows here now {}."
     rows = [{"ingest_seq": i, "title": "a good title", "content": text.format(i), "source": f"s{i % 3}", "date": "2024-01-01T00:00:00"} for i in range(9)]

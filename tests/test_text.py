@@ -91,14 +91,18 @@ def test_dates(spark):
     values = [
         "2024-01-02T03:04:05", "2024-01-02T03:04:05Z", "2024-01-02T03:04:05+02:00", "2024-01-02", "Tue, 2 Jan 2024 03:04:05 GMT",
         "Tue, 02 Jan 2024 03:04:05 -0500", "n/a", "", None, "12:30",
+        "2024/01/02 10:00", "Jan 2, 2024", "Wed Oct 10 20:19:24 +0000 2018", "January 2, 2024 03:04", "01/02/2024 3:04:05", "2 Jan 2024",
+        "Jan 2024", "2024/13/02",
     ]
     utc = apply(spark, values, iso(normalize_datetime(F.col("v"))))
     assert utc == [
         "2024-01-02T03:04:05", "2024-01-02T03:04:05", "2024-01-02T01:04:05", "2024-01-02T00:00:00", "2024-01-02T03:04:05",
         "2024-01-02T08:04:05", None, None, None, None,
+        "2024-01-02T10:00:00", "2024-01-02T00:00:00", "2018-10-10T20:19:24", "2024-01-02T03:04:00", "2024-01-02T03:04:05", "2024-01-02T00:00:00",
+        None, None,
     ]
     written = apply(spark, values, iso(wall_clock(F.col("v"))))
-    assert written[:4] == ["2024-01-02T03:04:05"] * 3 + ["2024-01-02T00:00:00"] and written[6:] == [None] * 4
+    assert written[:4] == ["2024-01-02T03:04:05"] * 3 + ["2024-01-02T00:00:00"] and written[6:10] == [None] * 4
 
 
 def test_labels_at_their_thresholds(spark):
