@@ -203,6 +203,17 @@ def test_quality_model_parts_held_out_rows(spark):
     assert quality.fit(docs.limit(0), labels).threshold is None
 
 
+def test_quality_rejects_a_few_insults_in_a_long_text(spark):
+    session(spark)
+    rnd = random.Random(8)
+    clean = [(i, prose(400, rnd)) for i in range(160)]
+    toxic = [(i, " ".join([prose(200, rnd), rnd.choice(["vermin", "scoundrel"]), prose(200, rnd)])) for i in range(160, 240)]
+    docs = spark.createDataFrame(clean + toxic, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, int(i >= 160)) for i in range(0, 240, 2)], "doc_id long, quality int, toxic int")
+    kept = {r.doc_id for r in quality.judge(docs, quality.fit(docs, labels)).filter("q_kept").collect()}
+    assert len([i for i in range(160) if i in kept]) >= 158 and not [i for i in range(160, 240) if i in kept]
+
+
 def jaccard_components(rows, words, percent=80):
     low = str.maketrans(line_dedup.UPPER, line_dedup.LOWER)
     sets = []
