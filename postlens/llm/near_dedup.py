@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlens.llm.components import components
@@ -270,8 +270,8 @@ def confirmed_edges(docs: DataFrame, members: DataFrame, words: int, percent: in
     return dealt.groupBy("deal", "low", "high").applyInArrow(confirm, "u long, v long")
 
 
-def near_groups(docs: DataFrame, words: int, percent: int = PERCENT) -> DataFrame:
-    """doc_id, text_hash, n_shingles, component_id of every row of the documents."""
+def near_rows(docs: DataFrame, words: int, percent: int = PERCENT) -> DataFrame:
+    """doc_id, text_hash, n_shingles, node, group of every row of the documents; node and group are null for an empty set."""
     signed = materialize(signatures(docs, words), "near-signatures")
     some = signed.filter("node is not null")
     found = components(candidate_edges(some))
@@ -281,21 +281,50 @@ def near_groups(docs: DataFrame, words: int, percent: int = PERCENT) -> DataFram
         F.first("sketch").alias("sketch"),
     )
     members = member.select("node", "component", "one.doc_id", "one.text_hash", "sketch")
-    groups = components(confirmed_edges(docs, members, words, percent))
-    grouped = some.select("doc_id", "node").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = grouped.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    of_node = grouped.select("node", "component").distinct().join(least, "component").select("node", "component_id")
-    joined = signed.select("doc_id", "text_hash", "n_shingles", "node").join(of_node, "node", "left")
-    own = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return joined.select("doc_id", "text_hash", "n_shingles", own.alias("component_id"))
+    groups = components(confirmed_edges(docs, members, words, percent)).select("node", F.col("component").alias("group"))
+    rows = signed.select("doc_id", "text_hash", "n_shingles", "node").join(groups, "node", "left")
+    return rows.withColumn("group", F.coalesce("group", "node"))
+
+
+def with_least(rows: DataFrame, least: Column) -> DataFrame:
+    """The rows with ``least``, an aggregate over their group; null for those without one."""
+    # by node, which has fewer rows in a group of copies than the group has
+    of_group = rows.filter("node is not null").groupBy("group").agg(least.alias("least"))
+    of_node = rows.filter("node is not null").select("node", "group").distinct().join(of_group, "group").select("node", "least")
+    return rows.join(of_node, "node", "left")
+
+
+def near_groups(docs: DataFrame, words: int, percent: int = PERCENT) -> DataFrame:
+    """doc_id, text_hash, n_shingles, component_id of every row of the documents."""
+    rows = with_least(near_rows(docs, words, percent), F.min("doc_id"))
+    own = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("least"))
+    return rows.select("doc_id", "text_hash", "n_shingles", own.alias("component_id"))
 
 
 def keep_first(docs: DataFrame, words: int, percent: int = PERCENT) -> DataFrame:
-    """The documents of which no earlier one is similar, directly or over others; of repeated rows one stays."""
-    dropped = near_groups(docs, words, percent).filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-    marks = dropped.select(F.col("doc_id").alias("n_id"), F.col("text_hash").alias("n_hash")).distinct()
-    same = docs["doc_id"].eqNullSafe(marks["n_id"]) & (F.xxhash64(text_or_empty(docs["text"])) == marks["n_hash"])
-    return docs.join(marks, same, "left_anti")
+    """One document of each group of similar ones: the row with the least id (null after all others), then hash of the text.
+
+    Of rows with the same id and text one stays, that with the least hash of all columns. Texts without words are similar to nothing, so only repeated rows of one
+    id go; without an id they all stay.
+    """
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    rows = materialize(with_least(near_rows(docs, words, percent), F.min(order)), "near-rows")
+    judged = rows.groupBy(F.col("doc_id").alias("n_id"), F.col("text_hash").alias("n_hash")).agg(
+        F.count("*").alias("n"), F.first("node").alias("node"), F.first("least").alias("least")
+    )
+    first = F.col("node").isNull() | F.col("n_id").eqNullSafe(F.col("least.doc_id")) & (F.col("n_hash") == F.col("least.text_hash"))
+    again = (F.col("n") > 1) & (F.col("node").isNotNull() | F.col("n_id").isNotNull())
+    marks = materialize(judged.select("n_id", "n_hash", first.alias("n_first"), again.alias("n_again")).filter("not n_first or n_again"), "near-marks")
+
+    def same(marked: DataFrame) -> Column:
+        return docs["doc_id"].eqNullSafe(marked["n_id"]) & (F.xxhash64(text_or_empty(docs["text"])) == marked["n_hash"])
+
+    alone = docs.join(marks, same(marks), "left_anti")
+    repeated = marks.filter("n_first")
+    if repeated.isEmpty():
+        return alone
+    least = F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("row")
+    return alone.unionByName(docs.join(repeated, same(repeated)).groupBy("n_id", "n_hash").agg(least).select("row.*"))
 
 
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -258,6 +258,21 @@ def test_near_dedup(spark, docs, rows, none, words):
     assert 299 in ids and not ids & set(range(300, 360)) and {0, 1, 2, 3, 4, 5} <= ids and 6 not in ids
 
 
+@pytest.mark.parametrize("words", [2, 5])
+def test_near_dedup_keeps_one_row_of_each_group(spark, words):
+    session(spark)
+    rnd = random.Random(12)
+    one, two, three = (prose(200, rnd) for _ in range(3))
+    edit = lambda t, k: " ".join(f"edit{k}" if i == k else w for i, w in enumerate(t.split()))
+    rows = [(1, one), (1, one), (1, edit(one, 5)), (2, one), (None, one), (None, two), (None, two), (None, edit(two, 9)), (3, three), (4, ""), (4, None), (5, ""), (None, ""), (None, None)]
+    docs = spark.createDataFrame([(d, t, "en", i, 0, 0) for i, (d, t) in enumerate(rows)], DOCS)
+    kept = near_dedup.keep_first(docs, words).collect()
+    named = {one: "one", edit(one, 5): "one", two: "two", edit(two, 9): "two", three: "three"}
+    assert Counter((r.doc_id, named.get(r.text, "")) for r in kept) == Counter(
+        {(1, "one"): 1, (None, "two"): 1, (3, "three"): 1, (4, ""): 1, (5, ""): 1, (None, ""): 2}
+    )
+
+
 def test_odd_sketch_tells_high_similarity():
     rnd = np.random.default_rng(1)
     a = np.unique(rnd.integers(0, 1 << 64, 1000, dtype=np.uint64))
