@@ -214,6 +214,15 @@ def test_quality_rejects_a_few_insults_in_a_long_text(spark):
     assert len([i for i in range(160) if i in kept]) >= 158 and not [i for i in range(160, 240) if i in kept]
 
 
+def test_quality_buckets_follow_the_corpus(spark):
+    session(spark)
+    docs = spark.createDataFrame([(i, " ".join(f"w{i}x{j}" for j in range(2000))) for i in range(1600)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    few, many = quality.fit(docs.limit(40), labels), quality.fit(docs, labels)
+    assert few.buckets == quality.BUCKETS and many.buckets > quality.BUCKETS
+    assert many.weights.count() > 2 * quality.BUCKETS
+
+
 def jaccard_components(rows, words, percent=80):
     low = str.maketrans(line_dedup.UPPER, line_dedup.LOWER)
     sets = []
