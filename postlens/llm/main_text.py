@@ -1,13 +1,13 @@
 """Main text of web pages, with the templates of each host removed.
 
 A page is parsed into elements. Every element with text has a hash of its subtree: tag, class and the subtrees and texts below. Spark counts, for
-each host, the pages that hold a hash; a subtree on at least ``MIN_PAGES`` pages and ``SHARE`` of the pages of its host is a
-template. Templates of a host are few, since a page holds only so many subtrees, and go to the host's pages with a join. A
+each host, the different contents that a hash stands beside: the article that it is in, or else all main text of its page. So copies of a page count once. A subtree beside
+at least ``MIN_PAGES`` contents and ``SHARE`` of the contents of its host is a template; an article or main element never is. Templates of a host are few, since a page holds only so many subtrees, and go to the host's pages with a join. A
 second pass deletes them, together with what its tag, role, class or id marks as navigation, header, footer, sidebar, notice,
 advert, form, script, style or comments, and takes the text of the articles, or of the main part or the body where there is no article.
 
 Within a block white space is one blank; blocks are joined by line ends in page order; <br> is white space. Character references are decoded.
-Null and empty html gives an empty text. Repeated rows are extracted alike, and count as pages of their host. A null URL is a host of
+Null and empty html gives an empty text. Repeated rows are extracted alike. A null URL is a host of
 its own. Other columns of the pages are not read.
 """
 
@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm.shared import ascii_lower, load, packed, session, text_or_empty
+from postlens.llm.shared import ascii_lower, load, materialize, packed, session, text_or_empty
 
 MIN_PAGES, SHARE = 5, 0.5
 
@@ -118,9 +118,8 @@ def in_order(root: Element) -> list[Element]:
     return found[::-1]
 
 
-def subtree_hashes(root: Element) -> set[int]:
-    """Hashes of all block subtrees with text; each element's ``state`` is (hash, has text)."""
-    hashes = set()
+def subtree_hashes(root: Element) -> None:
+    """Sets each element's ``state``: (hash of its subtree, has text)."""
     for element in in_order(root):
         digest, worded = xxhash.xxh3_64(f"{element.tag} {' '.join(sorted(element.marks))}".encode()), False
         for part in element.parts:
@@ -133,9 +132,27 @@ def subtree_hashes(root: Element) -> set[int]:
                 digest.update(b"\x02" + part.state[0].to_bytes(8, "little"))
                 worded = worded or part.state[1]
         element.state = (digest.intdigest(), worded)
-        if worded and element.tag in BLOCKS and element.tag not in ("html", "body"):
-            hashes.add(element.state[0])
-    return hashes
+
+
+def contents(root: Element) -> tuple[set[int], set[tuple[int, int]]]:
+    """Hashes of the page's contents, and (subtree, content beside it) of all block subtrees with text."""
+    subtree_hashes(root)
+    parts = main_parts(root, set())
+    digest = xxhash.xxh3_64()
+    for part in parts:
+        digest.update(part.state[0].to_bytes(8, "little"))
+    whole = digest.intdigest()
+    articles = {id(part) for part in parts if part.tag == "article"}
+    beside, found, stack = set(), set(), [(root, whole)]
+    while stack:
+        element, content = stack.pop()
+        if id(element) in articles:
+            content = element.state[0]
+            beside.add(content)
+        if element.state[1] and element.tag in BLOCKS and element.tag not in ("html", "body", "main", "article") and element.role != "main":
+            found.add((element.state[0], content))
+        stack.extend((p, content) for p in element.parts if isinstance(p, Element))
+    return beside or {whole}, found
 
 
 def dropped(element: Element, inside: bool) -> bool:
@@ -198,22 +215,25 @@ def main_text(html: str, templates: set[int]) -> str:
 
 
 def host_templates(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE) -> DataFrame:
-    """(t_host, templates); pages: host, html. A host has 1 / share times the subtrees of a page at most."""
-    out = pa.schema([("host", pa.string()), ("subtree", pa.int64())])
+    """(t_host, templates); pages: host, html. A host has 1 / share times the subtrees of a content at most."""
+    out = pa.schema([("host", pa.string()), ("subtree", pa.int64()), ("content", pa.int64())])
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: dict = {"host": [], "subtree": []}
+            rows: dict = {"host": [], "subtree": [], "content": []}
             for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
-                found = subtree_hashes(parsed(html)) if html else ()
-                rows["host"] += [host] * len(found)
-                rows["subtree"] += [h - (1 << 63) for h in found]
+                beside, found = contents(parsed(html)) if html else ((), ())
+                rows["host"] += [host] * (len(beside) + len(found))
+                rows["subtree"] += [None] * len(beside) + [h - (1 << 63) for h, _ in found]  # null: the content itself
+                rows["content"] += [c - (1 << 63) for c in beside] + [c - (1 << 63) for _, c in found]
             yield packed(rows, out)
 
-    counted = pages.mapInArrow(hashes, "host string, subtree long").groupBy("host", "subtree").agg(F.count("*").alias("n"))
-    sizes = pages.groupBy(F.col("host").alias("s_host")).agg(F.count("*").alias("pages"))
-    common = counted.filter(F.col("n") >= min_pages).join(sizes, F.col("host") == F.col("s_host"))
-    return common.filter(F.col("n") >= share * F.col("pages")).groupBy(F.col("host").alias("t_host")).agg(F.collect_list("subtree").alias("templates"))
+    different = pages.mapInArrow(hashes, "host string, subtree long, content long").distinct()
+    counted = different.groupBy("host", "subtree").agg(F.count("*").alias("n")).filter((F.col("n") >= min_pages) | F.col("subtree").isNull())
+    counted = materialize(counted, "host-subtrees")
+    sizes = counted.filter("subtree is null").select(F.col("host").alias("s_host"), F.col("n").alias("contents"))
+    common = counted.filter("subtree is not null").join(sizes, F.col("host") == F.col("s_host"))
+    return common.filter(F.col("n") >= share * F.col("contents")).groupBy(F.col("host").alias("t_host")).agg(F.collect_list("subtree").alias("templates"))
 
 
 def extract(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE) -> DataFrame:

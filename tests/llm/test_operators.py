@@ -413,6 +413,17 @@ def test_main_text(spark):
     assert alone == "Head & line\nOne bold line é\nTwo\na\nb\nx\ny\np q\nSubscribe to us"
 
 
+def test_main_text_keeps_articles_that_are_copied(spark):
+    session(spark)
+    page = "<body><div>Menu of all</div><article><h1>Same head</h1><p>Same text</p></article></body>"
+    plain = "<body><div>Only text</div><p>and more</p></body>"
+    rows = [(i, f"http://copies.org/?utm_source={i}", page) for i in range(8)] + [(20 + i, f"http://plain.org/{i}", plain) for i in range(8)]
+    rows += [(40 + i, f"http://different.org/{i}", f"<body><div>Menu</div><p>Own {i}</p></body>") for i in range(8)]
+    got = collected(main_text.extract(spark.createDataFrame([(*r, "h", "t") for r in rows], PAGES)), "page_id", "text")
+    want = {i: "Same head\nSame text" for i in range(8)} | {20 + i: "Only text\nand more" for i in range(8)} | {40 + i: f"Own {i}" for i in range(8)}
+    assert got == Counter(want.items())
+
+
 def test_url_rules(spark):
     session(spark)
     urls = ["http://a.example.org/es/1", "http://example.org/en/12?x", "https://Example.ORG/en/2", "http://x.com/fr/a", "http://x.com/de/a#b", "http://com/de/", None, "nothing", "http://org", "http://y.net/a?b://c", "x://y.net//z"]
