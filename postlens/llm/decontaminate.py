@@ -6,7 +6,7 @@ in each text; every hit names a place at which the item would lie, places of an
 the window is decided by the item's distance to the nearest part of it. The items go through in blocks of ``BLOCK_ITEMS`` rows,
 which bounds what a task holds; each block meets all documents.
 
-Null and empty texts and items match nothing; nor do items of under ``MIN_CHARS`` characters, which could stand in any text. Repeated items
+Null and empty texts and items match nothing; nor do items of under ``MIN_CHARS`` characters, which could stand in any text. An item without an id is looked for by ``keep_clean`` only. Repeated items
 or documents give one row. Other columns of the documents are kept by ``keep_clean``.
 """
 
@@ -113,9 +113,9 @@ def windows(starts: list[int], budget: int) -> Iterator[tuple[int, int]]:
     yield low, high
 
 
-def item_blocks(benchmark: DataFrame, size: int = BLOCK_ITEMS) -> Iterator[list[tuple[int, str]]]:
+def item_blocks(benchmark: DataFrame, size: int = BLOCK_ITEMS) -> Iterator[list[tuple[int | None, str]]]:
     """The items, at most ``size`` rows or so at a time on the driver."""
-    items = benchmark.filter("text is not null and item_id is not null").select("item_id", "text").distinct()
+    items = benchmark.filter("text is not null").select("item_id", "text").distinct()
     blocks = max(1, math.ceil(items.count() / size))
     for b in range(blocks):
         yield [(r.item_id, r.text) for r in items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()]
@@ -137,7 +137,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, errors: float = ERRORS, min_cha
     """doc_id, item_id, distance of every item that a document holds."""
     out = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("distance", pa.int64())])
     texts, found = docs.select("doc_id", text_or_empty("text").alias("text")), None
-    for block in item_blocks(benchmark):
+    for block in item_blocks(benchmark.filter("item_id is not null")):
 
         def match(batches: Iterator[pa.RecordBatch], block: list = block) -> Iterator[pa.RecordBatch]:
             known = matcher(block, errors, min_chars)

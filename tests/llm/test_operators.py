@@ -356,6 +356,16 @@ def test_decontamination(spark, docs, none):
     assert decontaminate.keep_clean(docs, benchmark.limit(0)).count() == docs.count()
 
 
+def test_keep_clean_uses_items_without_an_id(spark):
+    session(spark)
+    rnd = random.Random(10)
+    item = prose(12, rnd)
+    frame = spark.createDataFrame([(1, f"{prose(9, rnd)} {item}"), (2, prose(30, rnd))], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(None, item)], "item_id long, text string")
+    assert [r.doc_id for r in decontaminate.keep_clean(frame, benchmark).collect()] == [2]
+    assert decontaminate.leaks(frame, benchmark).count() == 0
+
+
 PAGES = "page_id long, url string, html string, host string, text string"
 
 
