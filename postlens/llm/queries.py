@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from postlens.llm import line_dedup, main_text, near_dedup, url_rules, warc
+from postlens.llm import hard_negatives, line_dedup, main_text, near_dedup, url_rules, warc
 from postlens.llm.arrow_tokens import op2_arrow_tokens
 from postlens.llm.decontaminate import op8_decontaminate
+from postlens.llm.hard_negatives import op11_hard_negatives
 from postlens.llm.line_dedup import op4_line_dedup
 from postlens.llm.main_text import op3_main_text
 from postlens.llm.near_dedup import op9_minhash_near_dedup
@@ -19,6 +20,7 @@ QUERIES = {
     for f in (
         op1_warc_index, op2_arrow_tokens, op3_main_text, op4_line_dedup, op5_suffix_dedup, op6_quality_rules, op7_best_fit_packing,
         op8_decontaminate, op9_minhash_near_dedup, op10_url_rules,
+        op11_hard_negatives,
     )
 }
 SQL = {
@@ -27,4 +29,5 @@ SQL = {
     "op4_line_dedup": line_dedup.SQL,
     "op9_minhash_near_dedup": near_dedup.SQL,
     "op10_url_rules": url_rules.SQL,
+    "op11_hard_negatives": hard_negatives.SQL,
 }
