@@ -13,6 +13,7 @@ from postlens.llm.packing import op7_best_fit_packing
 from postlens.llm.private_data import op12_private_data
 from postlens.llm.quality import op6_quality_rules
 from postlens.llm.suffix_dedup import op5_suffix_dedup
+from postlens.llm.token_alignment import op13_token_alignment
 from postlens.llm.url_rules import op10_url_rules
 from postlens.llm.warc import op1_warc_index
 
@@ -21,7 +22,7 @@ QUERIES = {
     for f in (
         op1_warc_index, op2_arrow_tokens, op3_main_text, op4_line_dedup, op5_suffix_dedup, op6_quality_rules, op7_best_fit_packing,
         op8_decontaminate, op9_minhash_near_dedup, op10_url_rules,
-        op11_hard_negatives, op12_private_data,
+        op11_hard_negatives, op12_private_data, op13_token_alignment,
     )
 }
 SQL = {
