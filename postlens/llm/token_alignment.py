@@ -32,11 +32,11 @@ from pyspark.sql import functions as F
 
 from postlens.llm.shared import load, materialize, session
 
-CHUNK = 500_000  # ids of either side in a row
+CHUNK = 200_000  # ids of either side in a row
 SHARD = 1 << 18  # pairs of a shard
 FAN = 32  # chunks or vectors that are summed at once
 ROOM = 2  # bits for each key of a level
-WORDS = 200_000  # words kept in either half of the cache
+WORDS = 100_000  # words kept in either half of the cache
 A_FILE, B_FILE = "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
 MARK = "▁"
 
@@ -161,6 +161,18 @@ def vocabulary() -> Vocabulary:
     return _vocabulary[0]
 
 
+def squeezed(ids: bytes) -> bytes:
+    """Ids as a plane of low bytes and one of high bytes, compressed."""
+    return pa.compress(np.frombuffer(ids, np.uint8).reshape(-1, 2).T.tobytes(), codec="zstd", asbytes=True) if ids else b""
+
+
+def restored(data: bytes, n: int) -> np.ndarray:
+    if not n:
+        return np.zeros(0, np.uint16)
+    planes = np.frombuffer(pa.decompress(data, 2 * n, codec="zstd"), np.uint8)
+    return np.ascontiguousarray(planes.reshape(2, n).T).view(np.uint16)[:, 0]
+
+
 CHUNKS = pa.schema([("doc_ids", pa.list_(pa.int64())), ("a", pa.binary()), ("b", pa.binary()), ("n_a", pa.list_(pa.int64())), ("n_b", pa.list_(pa.int64()))])
 
 
@@ -170,7 +182,7 @@ def encode_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     size = 0
 
     def row() -> pa.RecordBatch:
-        columns = [[ids], [b"".join([t[0] for t in tokens])], [b"".join([t[1] for t in tokens])], [[len(t[0]) // 2 for t in tokens]], [[len(t[1]) // 2 for t in tokens]]]
+        columns = [[ids], [squeezed(b"".join([t[0] for t in tokens]))], [squeezed(b"".join([t[1] for t in tokens]))], [[len(t[0]) // 2 for t in tokens]], [[len(t[1]) // 2 for t in tokens]]]
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, CHUNKS, strict=True)], schema=CHUNKS)
 
     for batch in batches:
@@ -195,8 +207,8 @@ class Aligned:
 
     def __init__(self, a: bytes, b: bytes, n_a: np.ndarray, n_b: np.ndarray):
         v = vocabulary()
-        self.a, self.b = np.frombuffer(a, np.uint16), np.frombuffer(b, np.uint16)
         self.n_a, self.n_b = np.asarray(n_a, np.int64), np.asarray(n_b, np.int64)
+        self.a, self.b = restored(a, int(self.n_a.sum())), restored(b, int(self.n_b.sum()))
         # both sides of every document have the same bytes, so running ends are comparable over the whole chunk
         self.ends_a, self.ends_b = np.cumsum(v.a_length[self.a]), np.cumsum(v.b_length[self.b])
         self.common = np.intersect1d(self.ends_a, self.ends_b, assume_unique=True)
