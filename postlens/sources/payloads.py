@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from postlens.functions import text as X
 from postlens.functions.dates import as_time, iso
 from postlens.schema import conform
+from postlens.sources.quarantine import landed_records, split_records
 
 REDDIT = (
     "id string, title string, selftext string, url string, permalink string, author string, score long, "
@@ -214,10 +215,13 @@ def parse_feeds(lines: DataFrame, column: str = "value") -> DataFrame:
 
 
 def _read_json(schema: str, shape: Callable[[DataFrame, object], DataFrame]):
-    """A reader that numbers the posts after shaping, so that the items of one response have numbers of their own."""
+    """A reader that numbers the posts after shaping, so that the items of one response have numbers of their own.
+
+    Records that don't fit the schema give no post; ``quarantine`` has them.
+    """
 
     def read(spark: SparkSession, path: str, as_of) -> DataFrame:
-        payload = spark.read.schema(schema).json(path).withColumn("ingest_seq", _sequence())
+        payload = split_records(landed_records(spark, path), schema)[0].drop("file", "split_start")
         return shape(payload, as_of).withColumn("ingest_seq", _sequence())
 
     return read

@@ -19,6 +19,7 @@ from postlens.operators.dedup import dedupe_exact
 from postlens.plans.cycle import run_cycle
 from postlens.schema import ddl
 from postlens.session import materialize
+from postlens.streaming.seen import BUCKETS, SeenHashes
 
 LATENESS = "2 hours"
 
@@ -55,24 +56,23 @@ def dedupe_stream(posts: DataFrame, key: str = "content", lateness: str = LATENE
 
 
 def run_dedupe(
-    stream: DataFrame, path: str, checkpoint: str, key: str = "content", order: str = "ingest_seq"
+    stream: DataFrame, path: str, checkpoint: str, key: str = "content", order: str = "ingest_seq", buckets: int = BUCKETS
 ) -> StreamingQuery:
     """The first post of each content hash over all batches, however far apart they are.
 
-    Kept posts are a table with a folder per batch, and its hashes are what a
-    new batch is held against: only that column is read. A batch that is run
-    again after a failure looks at the batches before it and replaces its own
-    folder. Where copies come within a known time, ``dedupe_stream`` needs no
-    such history.
+    Kept posts are a table with a folder per batch. Their hashes are kept beside the stream's own state, see ``streaming.seen``: a batch reads
+    those that it may meet, not all that were ever kept. A batch that is run again after a failure looks at the batches before it and
+    replaces its own folders. Where copies come within a known time, ``dedupe_stream`` needs no such history.
     """
 
     def keep_new(batch: DataFrame, number: int) -> None:
         landed = materialize(batch, "batch")
-        fresh = dedupe_exact(landed, key, order).withColumn("content_hash", X.content_hash(F.col(key)))
-        if number > 0:
-            history = batch.sparkSession.read.schema("content_hash string, batch long").parquet(path)
-            fresh = fresh.join(history.where(F.col("batch") < number).select("content_hash"), "content_hash", "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        firsts = dedupe_exact(landed, key, order).withColumn("content_hash", X.content_hash(F.col(key)))
+        fresh = materialize(firsts, "batch-firsts")
+        seen = SeenHashes(batch.sparkSession, f"{checkpoint}/seen", buckets)
+        unseen = materialize(seen.unseen(fresh, number), "unseen-hashes")
+        fresh.join(unseen, "content_hash", "left_semi").write.mode("overwrite").parquet(f"{path}/batch={number}")
+        seen.add(unseen, number)
 
     return (
         stream.writeStream.foreachBatch(keep_new)
