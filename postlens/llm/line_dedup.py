@@ -162,9 +162,9 @@ def _without(texts: pd.Series, drops: pd.Series) -> pd.DataFrame:
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """The documents with l_text, l_n_lines and l_n_dropped; a document's own keys to drop are as many as its lines at most."""
-    drops = shared_lines(docs, min_chars).groupBy("o").agg(F.collect_set("key").alias("l_drops"))
+    drops = shared_lines(docs, min_chars).groupBy(F.col("o").alias("l_o")).agg(F.collect_set("key").alias("l_drops"))
     text = text_or_empty("text")
-    joined = docs.join(drops, ordered_id() == drops["o"], "left").drop("o")
+    joined = docs.join(drops, ordered_id() == drops["l_o"], "left").drop("l_o")
     cut = joined.withColumn("l_cut", F.pandas_udf(_without, "struct<kept:string,dropped:long>")(F.when(F.col("l_drops").isNotNull(), text), F.col("l_drops")))
     return cut.withColumns(
         {

@@ -97,6 +97,14 @@ class Tree(HTMLParser):
                 del self.open[k:]
                 return
 
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        """A marked section of an unknown kind is a comment up to the next >."""
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:
+            end = self.rawdata.find(">", i)
+            return end + 1 if end >= 0 else -1
+
     def handle_data(self, data: str) -> None:
         self.open[-1].parts.append(data)
 

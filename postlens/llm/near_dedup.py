@@ -323,7 +323,7 @@ def keep_first(docs: DataFrame, words: int, percent: int = PERCENT) -> DataFrame
     repeated = marks.filter("n_first")
     if repeated.isEmpty():
         return alone
-    least = F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("row")
+    least = F.min_by(F.struct(*docs.columns), F.xxhash64(F.to_json(F.struct(*docs.columns)))).alias("row")
     return alone.unionByName(docs.join(repeated, same(repeated)).groupBy("n_id", "n_hash").agg(least).select("row.*"))
 
 

@@ -96,13 +96,16 @@ def blocked_urls(pages: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def judge(pages: DataFrame, labels: DataFrame, rules: tuple = RULES) -> DataFrame:
-    """The pages with u_host, u_path, u_rule and u_verdict."""
-    found = blocked_urls(pages, mine(pages, labels))
+    """The pages with u_host, u_path, u_rule and u_verdict; page columns of these four names are replaced, all others kept."""
+    # names of its own that no page column has
+    key, hit, first = (f"{'_' * (1 + max(map(len, pages.columns)))}{n}" for n in ("url", "hit", "fixed"))
+    found = blocked_urls(pages, mine(pages, labels)).withColumnsRenamed({"u_url": key, "u_hit": hit})
     url = F.col("url")
-    fixed = pages.withColumns({"u_host": host_of(url), "u_path": path_of(url)}).withColumn("u_fixed", fixed_rule(F.col("u_host"), F.col("u_path"), rules))
-    mined = F.when(F.col("u_hit"), "block").otherwise("allow")
-    joined = fixed.join(found, fixed["url"] == found["u_url"], "left")
-    return joined.withColumns({"u_rule": F.col("u_fixed.rule"), "u_verdict": F.coalesce(F.col("u_fixed.verdict"), mined)}).drop("u_fixed", "u_url", "u_hit")
+    named = pages.withColumns({"u_host": host_of(url), "u_path": path_of(url)})
+    fixed = named.withColumn(first, fixed_rule(F.col("u_host"), F.col("u_path"), rules))
+    mined = F.when(F.col(hit), "block").otherwise("allow")
+    joined = fixed.join(found, fixed["url"] == found[key], "left")
+    return joined.withColumns({"u_rule": F.col(f"{first}.rule"), "u_verdict": F.coalesce(F.col(f"{first}.verdict"), mined)}).drop(first, key, hit)
 
 
 def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,6 +31,7 @@ from postlens.llm.shared import filesystem, load, materialize, ordered_id, packe
 MIN_PAYLOAD = 0
 ARCHIVE_BYTES = 64 << 20
 EPOCH = datetime(2024, 1, 1, tzinfo=timezone.utc)
+LAST_SECOND = 250_000_000_000  # capture times start again from there, within what dates can write
 INDEX = "url_key string, captured_at string, page_id long, archive string, position long, size long"
 ENTRY = pa.schema(
     [("url_key", pa.string()), ("captured_at", pa.string()), ("page_id", pa.int64()), ("archive", pa.string()), ("position", pa.int64()), ("size", pa.int64())]
@@ -100,7 +101,7 @@ def roles(pages: DataFrame, min_payload: int = MIN_PAYLOAD) -> DataFrame:
 def write_archives(pages: DataFrame, folder: str, captured_at: str | None = None, min_payload: int = MIN_PAYLOAD) -> DataFrame:
     """Write the archives; returns the stored index runs, one run an archive."""
     html = text_or_empty("html")
-    seconds = F.col(captured_at).cast("timestamp").cast("long") if captured_at else F.coalesce(F.col("page_id"), F.lit(0)) + int(EPOCH.timestamp())
+    seconds = F.col(captured_at).cast("timestamp").cast("long") if captured_at else F.pmod(F.coalesce(F.col("page_id"), F.lit(0)), F.lit(LAST_SECOND // 2)) + int(EPOCH.timestamp())
     told = roles(pages, min_payload)
     rows = pages.select("page_id", text_or_empty("url").alias("url"), html.alias("html"), seconds.alias("seconds"))
     rows = rows.join(told, rows["page_id"].eqNullSafe(told["r_id"]) & (F.sha1("html") == told["r_digest"]), "left")
@@ -119,7 +120,7 @@ def write_archives(pages: DataFrame, folder: str, captured_at: str | None = None
                     store, path = filesystem(f"{folder}/{name}")
                     store.create_dir(path.rpartition("/")[0], recursive=True)
                     sink = store.open_output_stream(path, compression=None)
-                row["captured_at"] = (EPOCH + timedelta(seconds=(row["seconds"] or 0) - EPOCH.timestamp())).strftime("%Y-%m-%dT%H:%M:%SZ")
+                row["captured_at"] = (EPOCH + timedelta(seconds=(row["seconds"] or 0) % LAST_SECOND - EPOCH.timestamp())).strftime("%Y-%m-%dT%H:%M:%SZ")
                 payload = row["html"].encode()
                 member = gzip.compress(record(row, payload, digest_of(payload)), 6, mtime=0)
                 sink.write(member)

@@ -302,3 +302,35 @@ def test_perfect_hash_is_minimal_and_perfect():
     assert (placed[T.verified(hashed, placed, keys[:100])] == keys[:100]).all()
     with pytest.raises(ValueError):
         T.verified(hashed, placed, np.setdiff1d(np.arange(50, dtype=np.uint32), keys))
+
+
+# ---- inputs that once ended a job
+
+
+def test_inputs_that_once_ended_a_job(spark):
+    from postlens.llm import line_dedup, main_text, near_dedup, url_rules
+
+    session(spark)
+    page = "<html><body><article><p>One.</p><![foo[bar]]><p>Two.</p></article><![endif]--><![if x]></body>"
+    assert [e.tag for e in main_text.in_order(main_text.parsed(page)) if e.tag == "p"] == ["p", "p"]
+    docs = spark.createDataFrame([(1, "a shared line here\nown", "x"), (2, "a shared line here\nother", "y")], "doc_id long, text string, o string")
+    done = line_dedup.dedup_lines(docs)
+    assert done.columns[:3] == docs.columns and sorted((r.doc_id, r.l_text, r.o) for r in done.collect()) == [(1, "a shared line here\nown", "x"), (2, "other", "y")]
+    text = " ".join(f"word{i}" for i in range(40))
+    rows = [(1, text, {"k": 1}), (1, text, {"k": 1}), (2, text, {"k": 2}), (3, "something else altogether with more words", None)]
+    kept = near_dedup.keep_first(spark.createDataFrame(rows, "doc_id long, text string, m map<string,int>"), words=5).collect()
+    assert sorted((r.doc_id, r.m) for r in kept) == [(1, {"k": 1}), (3, None)]
+    pages = spark.createDataFrame([(1, "https://a.org/x", "p", "q", "r")], "page_id long, url string, u_url string, u_hit string, u_fixed string")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    judged = url_rules.judge(pages, labels).collect()
+    assert [(r.u_url, r.u_hit, r.u_fixed, r.u_host) for r in judged] == [("p", "q", "r", "a.org")]
+
+
+def test_wide_page_ids(spark, tmp_path):
+    from postlens.llm import warc
+
+    session(spark)
+    rows = [(10**12, "https://a.org/", "x", "u"), (-(2**63), "https://a.org/", "x", "u"), (2**63 - 1, None, None, "u")]
+    spark.createDataFrame(rows, "page_id long, url string, html string, extra string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = {r.page_id: r for r in warc.op1_warc_index(spark, str(tmp_path)).collect()}
+    assert set(got) == {10**12, -(2**63), 2**63 - 1} and got[10**12].record_type == "revisit" and got[10**12].refers_to == -(2**63)
