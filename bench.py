@@ -17,7 +17,7 @@ from postlens.session import local_session
 
 HEADLINE = [
     "basic_stats", "hourly_sentiment", "hashtag_trends", "activity_spikes", "content_velocity", "clean_text",
-    "extract_entities", "lexicon_sentiment", "enrich_posts", "dedupe_exact", "extract_keywords", "keyword_trends",
+    "extract_entities", "lexicon_sentiment", "enrich_posts", "dedupe_exact", "dedupe_near", "extract_keywords", "keyword_trends",
     "keyword_trends_by_platform", "emerging_topics", "topic_predictions", "competitor_mentions", "extract_articles",
     "recommend_all", "cycle_analysis", "cycle_summary",
 ]

@@ -651,6 +651,9 @@ def oracle_queries() -> dict[str, str]:
         "stream_hourly": f"""WITH s AS (SELECT ts, round(least(1.0, (value - 50) / 100), 4) AS p FROM documents JOIN events ON doc_id = event_id)
             SELECT {iso("date_trunc('hour', ts)")} AS hour, count(*) AS posts, {mean_of_scores("nullif(p, 0)")} AS avg_sentiment FROM s
             WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 2 HOUR FROM s) GROUP BY date_trunc('hour', ts)""",
+        "quarantined_records": """SELECT doc_id, CASE WHEN doc_id % 10 NOT IN (3, 7) THEN CAST(doc_id AS VARCHAR) END AS post_id,
+            CASE WHEN doc_id % 10 NOT IN (3, 7) THEN lang END AS title, CASE WHEN doc_id % 10 NOT IN (3, 7) THEN n_chars END AS score,
+            CASE doc_id % 10 WHEN 3 THEN 'malformed' WHEN 7 THEN 'wrong type' END AS reason FROM documents""",
         "stream_dedupe": f"SELECT DISTINCT {chash('text')} AS content_hash FROM documents WHERE text <> ''",
         "stream_cycle": f"""WITH v AS (SELECT * FROM (SELECT doc_id, source, text AS body, {doc_title} AS title, NULL AS url FROM documents WHERE text <> ''
               QUALIFY row_number() OVER (PARTITION BY {chash('text')} ORDER BY doc_id) = 1) WHERE len({ISSUES}) = 0)

@@ -18,6 +18,7 @@ from postlens.plans.fixtures import as_of, counted_posts, posts, table, tagged_e
 from postlens.schema import conform
 from postlens.session import materialize, small_table, work_folder
 from postlens.sources import html, payloads, store
+from postlens.sources.quarantine import as_records, split_records
 from postlens.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -376,7 +377,7 @@ def competitor_contexts(spark, d):
 
 def advanced_analysis(spark, d):
     results = advanced.advanced_analysis(shared_posts(spark, d), NAMES)
-    return advanced.as_rows(results).groupBy("section").agg(F.count("*").alias("rows"))
+    return advanced.as_rows(results)
 
 
 # --- trends -----------------------------------------------------------------
@@ -588,6 +589,22 @@ def _seconds(column: str = "event_time") -> Column:
     return F.unix_timestamp(column)
 
 
+def quarantined_records(spark, d):
+    """Every document as a landed record, some cut off, some with a field of another type, some in an array: its post, or why there is none."""
+    n = F.col("doc_id")
+    line = F.to_json(F.struct(n.cast("string").alias("id"), F.col("lang").alias("title"), F.col("n_chars").alias("score")))
+    value = (
+        F.when(n % 10 == 3, F.expr("substring(line, 1, length(line) - 5)"))
+        .when(n % 10 == 7, F.regexp_replace("line", r'"score":\d+', '"score":"many"'))
+        .when(n % 10 == 9, F.concat(F.lit("["), "line", F.lit("]")))
+        .otherwise(F.col("line"))
+    )
+    lines = table(spark, d, "documents").select("doc_id", line.alias("line")).select("doc_id", value.alias("value"))
+    good, bad = split_records(as_records(lines), payloads.REDDIT)
+    posts = good.select("doc_id", F.col("id").alias("post_id"), "title", "score", F.lit(None).cast("string").alias("reason"))
+    return posts.unionByName(bad.select("doc_id", "reason"), allowMissingColumns=True)
+
+
 def ingest_reddit(spark, d):
     n = F.col("ingest_seq")
     body = F.struct(
@@ -717,14 +734,14 @@ def extract_articles_blocks(spark, d):
     )
     pages = table(spark, d, "pages").withColumn("html", block)
     found = html.extract_articles(pages, as_of(spark, d), "blocks")
-    return found.select("page_id", "position", "title", F.length("content").alias("content_length"), "url", "source", "author", "category")
+    return found.select("page_id", "position", "title", "content", "url", "source", "author", "category")
 
 
 def extract_articles_light(spark, d):
     """Pages whose article element carries a class, as the light profile wants it."""
     pages = table(spark, d, "pages").withColumn("html", F.replace("html", F.lit("<article>"), F.lit('<article class="MainArticle">')))
     found = html.extract_articles(pages, as_of(spark, d), "light")
-    return found.select("page_id", "position", "title", F.length("content").alias("content_length"), "url", "source")
+    return found.select("page_id", "position", "title", "content", "url", "source")
 
 
 def keyword_search(spark, d):
@@ -879,7 +896,7 @@ def stream_dedupe(spark, d):
     documents = table(spark, d, "documents")
     documents.write.parquet(landed)
     stream = spark.readStream.schema(documents.schema).option("maxFilesPerTrigger", 3).parquet(landed)
-    jobs.run_dedupe(_as_posts(spark, d, stream), out, state).awaitTermination()
+    jobs.run_dedupe(_as_posts(spark, d, stream), out, state, buckets=16).awaitTermination()
     return spark.read.schema("content_hash string, batch long").parquet(out).select("content_hash")
 
 
@@ -909,7 +926,7 @@ QUERIES: dict[str, Query] = {
         scored_insights, analytics_report, report_json, recommend_trends, recommend_sentiment, recommend_engagement,
         recommend_timing, recommend_fallback, recommend_all, recommend_all_by_platform, recommendation_bands,
         recommendations_by_analysis, ingest_reddit, ingest_stackoverflow, ingest_hackernews, ingest_tweets,
-        ingest_rss, ingest_trending, extract_articles_blocks, extract_articles_light, keyword_search, raw_envelope,
+        quarantined_records, ingest_rss, ingest_trending, extract_articles_blocks, extract_articles_light, keyword_search, raw_envelope,
         load_raw, load_latest_analysis, upsert_analysis, export_csv, unified_posts, unified_by_family, cycle_analysis,
         cycle_summary, cycle_stored, cycle_near, stream_hourly, stream_dedupe, stream_cycle,
     )
