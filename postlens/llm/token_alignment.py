@@ -36,7 +36,7 @@ CHUNK = 200_000  # ids of either side in a row
 SHARD = 1 << 18  # pairs of a shard
 FAN = 32  # chunks or vectors that are summed at once
 ROOM = 2  # bits for each key of a level
-WORDS = 100_000  # words kept in either half of the cache
+WORDS = 150_000  # words kept in either half of the cache
 A_FILE, B_FILE = "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
 MARK = "▁"
 
@@ -69,6 +69,7 @@ class Vocabulary:
         self.blank = self.b.piece_to_id(MARK)
         self.cache: dict[str, tuple[bytes, bytes]] = {}
         self.older: dict[str, tuple[bytes, bytes]] = {}
+        self.unproven: set[str] = set()  # words whose ids were not held against their bytes
 
     def piece_bytes(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
@@ -94,11 +95,14 @@ class Vocabulary:
             if words:
                 found = [cache[w] for w in words]
                 a, b = b"".join([x[0] for x in found]), b"".join([x[1] for x in found])
+                proven = self.unproven.isdisjoint(words)
             else:
                 a, b = self.whole(text)
-            out.append((a, b) if self.stands_for(a, b, text) else (b"", b""))
+                proven = False
+            out.append((a, b) if proven or self.stands_for(a, b, text) else (b"", b""))
         if len(cache) > WORDS:
             self.cache, self.older = {}, cache
+            self.unproven &= cache.keys()
         return out
 
     def stands_for(self, a: bytes, b: bytes, text: str) -> bool:
@@ -126,6 +130,7 @@ class Vocabulary:
 
     def cut(self, words: list[str], text: str, blank: int) -> None:
         a, b = self.whole(text)
+        proven = self.stands_for(a, b, text)
         if not blank:  # the blank before the first line end
             first = self.a.encode_ordinary(" ")
             a = a[2 * len(first) :]
@@ -136,6 +141,8 @@ class Vocabulary:
         at_b, good_b = places(np.cumsum(self.b_length[ids_b]), ends)
         before_a, before_b, sound = 0, 0, True
         for w, i, j, good in zip(words, at_a.tolist(), at_b.tolist(), (good_a & good_b).tolist(), strict=True):
+            if not (proven and sound and good):
+                self.unproven.add(w)
             if sound and good:
                 self.cache[w] = a[2 * before_a : 2 * i], b[2 * before_b : 2 * j]
             else:  # not cut at its ends here: by itself
@@ -476,9 +483,9 @@ def align(docs: DataFrame, shard: int = SHARD, fan: int = FAN) -> DataFrame:
             at = np.searchsorted(pairs, x.pair)
             n_groups, texts = x.groups()
             n = len(x.n_a)
-            sums = np.zeros((3, n), np.int64)
-            for k, values in enumerate((np.ones(len(at), np.int64), best[at] if len(at) else at, counts[at] if len(at) else at)):
-                np.add.at(sums[k], x.doc, values)
+            edges = np.searchsorted(x.doc, np.arange(n + 1))  # links follow documents
+            totals = [np.append(0, np.cumsum(v[at]))[edges] if len(at) else edges for v in (best, counts)]
+            sums = [np.diff(edges), *[np.diff(t) for t in totals]]
             columns = [row["doc_ids"], x.n_a.tolist(), x.n_b.tolist(), n_groups.tolist(), *[s.tolist() for s in sums], [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in texts]]
             for (name, _), values in zip(fields, columns, strict=True):
                 out[name] += values
