@@ -140,21 +140,26 @@ def run_cycle(
     lexicon: DataFrame | None = None,
     analysis_id: str | None = None,
     details_path: str | None = None,
+    raw_path: str | None = None,
 ) -> DataFrame:
     """Run a cycle on canonical posts and return its summary; store it where paths are given.
 
-    ``details_path`` takes the analysis itself: trends, sentiment, hours, sources and insights as rows.
+    ``details_path`` takes the analysis itself: trends, sentiment, hours, sources and insights as rows. ``raw_path`` takes the posts as they
+    came, per source and before any are dropped; the cycle's second is their batch, so a cycle that is run again replaces its own.
 
     The enriched posts are written once to the shared work folder, since every
     result of the cycle reads them.
     """
+    now = as_time(as_of)
+    if raw_path is not None:
+        raw = store.raw_envelope(posts, F.coalesce("source", F.lit("Unknown")), F.lit("posts"), now)
+        store.save_raw(raw, raw_path, posts.sparkSession.range(1).select(now.cast("long")).first()[0])
     enriched = materialize(collect_posts(posts, as_of, near=near, lexicon=lexicon), "enriched")
     analysis = analyze(enriched, as_of, by)
     recommendations = recommend(analysis, as_of, by)
     summary = cycle_summary(enriched, analysis, recommendations, as_of, by)
     if analyses_path is None:
         return summary
-    now = as_time(as_of)
     name = F.lit(analysis_id) if analysis_id else F.concat(F.lit("analysis_"), F.date_format(now, "yyyyMMdd_HHmmss"))
     if by:
         name = F.concat_ws("_", name, *by)

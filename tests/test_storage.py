@@ -1,11 +1,14 @@
-"""The store of seen hashes, and the quarantine of records that don't fit."""
+"""The store of seen hashes, the raw table, and the quarantine of records that don't fit."""
 
+import datetime as dt
 import json
 
 import pytest
 from pyspark.sql import functions as F
 
-from postlens.sources import payloads, quarantine
+from postlens import schema
+from postlens.plans import cycle
+from postlens.sources import payloads, quarantine, store
 from postlens.streaming.seen import SeenHashes, merges_after, runs_before
 
 
@@ -79,3 +82,52 @@ def test_a_failing_source_does_not_end_the_others(spark, tmp_path):
     broken = lambda: spark.range(3).select(F.raise_error(F.lit("unreadable block")).alias("x"))  # noqa: E731  fails in the job, not before
     frames = quarantine.collect_sources({"gone": lambda: spark.read.text(str(tmp_path / "none")), "broken": broken, "reddit": lambda: payloads.read_reddit(spark, str(folder), "2024-01-01T00:00:00")}, said.append)
     assert [f.count() for f in frames] == [1] and len(said) == 2
+
+
+def raw_rows(spark, numbers):
+    items = spark.range(numbers.start, numbers.stop, 1, 3).select(F.concat(F.lit("text "), "id").alias("content"), "id")
+    return store.raw_envelope(items, F.when(F.col("id") % 3 == 0, "a").otherwise("b"), F.lit("posts"), "2024-01-01T00:00:00")
+
+
+def test_raw_ids_over_batches_and_retries(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "raw")
+
+    def stored():
+        return {r.content: r.id for r in store.read_raw(spark, path).collect()}
+
+    store.save_raw(raw_rows(spark, range(0, 20)), path, 0)
+    store.save_raw(raw_rows(spark, range(20, 45)), path, 1)
+    before = stored()
+    store.save_raw(raw_rows(spark, range(20, 45)), path, 1)  # a retry: the same rows, the same ids
+    assert stored() == before
+    store.save_raw(raw_rows(spark, range(45, 50)), path, 2)
+    store.save_raw(raw_rows(spark, range(50, 50)), path, 3)
+    whole = stored()
+    assert len(whole) == 50 == len(set(whole.values())) and before.items() <= whole.items()
+    store.save_raw(raw_rows(spark, range(0, 20)).unionByName(raw_rows(spark, range(60, 90))), path, 0)  # more rows than its range has ids
+    grown = stored()
+    assert len(grown) == 80 == len(set(grown.values())) == store.read_raw(spark, path).count()
+    assert set(store.read_raw(spark, path).columns) == {c.split()[0] for c in schema.RAW.split(", ")}
+    newest = [r.id for r in store.load_raw(store.read_raw(spark, path), "b", 7).collect()]
+    assert newest == sorted(r.id for r in store.read_raw(spark, path).where("source = 'b'").collect())[:7]
+
+
+def test_a_writer_that_fails_leaves_no_id_twice(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    taken = store._first_id(spark, path, 0, 10)  # the range is recorded, the rows are not written
+    store.save_raw(raw_rows(spark, range(0, 4)), path, 1)
+    store.save_raw(raw_rows(spark, range(4, 8)), path, 0)
+    ids = [r.id for r in store.read_raw(spark, path).collect()]
+    assert taken == 1 and len(ids) == 8 == len(set(ids))
+
+
+def test_cycle_saves_raw_rows(spark, tmp_path):
+    now = dt.datetime(2024, 1, 2)
+    rows = [(i, f"title {i}", f"some words of text number {i % 4}", f"s{i % 2}" if i else None, "2024-01-01T10:00:00") for i in range(9)]
+    posts = schema.conform(spark.createDataFrame(rows, "ingest_seq long, title string, content string, source string, date string"))
+    path = str(tmp_path / "raw")
+    for _ in range(2):
+        cycle.run_cycle(posts, now, near=False, raw_path=path)
+    raw = store.read_raw(spark, path).collect()
+    assert len(raw) == 9 == len({r.id for r in raw})  # copies too, and once though the cycle ran twice
+    assert {r.source for r in raw} == {"s0", "s1", "Unknown"} and json.loads(raw[0].metadata)["title"].startswith("title")
