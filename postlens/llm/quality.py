@@ -3,8 +3,9 @@
 All of it is DataFrame operations. A text's units are its runs of letters and digits and its runs of other marks; its n-grams are the units and the
 pairs of neighbouring units. They are hashed into buckets, whose number follows the length of the corpus (``CHARS_A_BUCKET``). The raw corpus gives one
 multinomial, from every document; trusted documents (labelled good and not toxic) give the other. A text's score is the mean over its
-n-grams of log(p_trusted / p_raw), so it doesn't depend on the length. The weights are a stored table, joined to the n-grams of the texts. Documents
-under the threshold are rejected.
+n-grams of log(p_trusted / p_raw), so it doesn't depend on the length. The weights are whole thousandths of two bytes, in pages of ``PAGE`` buckets. Up to
+``IN_ROW_BUCKETS`` of them (64 MB, the counts of some 34 GB of text) are read in the row as one scalar, and n-grams are never shuffled; beyond, their table is
+joined to the n-grams, with the same result. Documents under the threshold are rejected.
 
 The mean hides a few insults in a long text. So each n-gram, by its whole hash, that stands in ``MIN_TOXIC`` toxic documents also has the log of its share of toxic documents to its share of
 the others; a text is judged by its worst n-gram as well, and rejected where that is over a second threshold. Every document
@@ -34,7 +35,9 @@ from postlens.llm.shared import load, materialize, session, text_or_empty
 
 BUCKETS = 8192  # at least
 CHARS_A_BUCKET = 1024
-SCALE = 1_000_000  # weights are summed as whole numbers, so that the order doesn't matter
+SCALE = 1_000  # weights are summed as whole numbers, so that the order doesn't matter; a log ratio of up to 32 fits two bytes
+IN_ROW_BUCKETS = 1 << 25
+PAGE = 4096  # buckets a page; BUCKETS is a multiple
 SAMPLE = 5_000
 STEP = 0.01
 MIN_TOXIC = 2  # toxic documents that hold an n-gram; one is no evidence of its kind
@@ -114,13 +117,33 @@ def labelled_sample(labels: DataFrame, size: int = SAMPLE) -> DataFrame:
 class Model:
     """Weights of the buckets, the threshold of their mean, and the n-grams that reject; the same for every document."""
 
-    def __init__(self, weights: DataFrame | list[float], threshold: float | None, buckets: int = BUCKETS, unseen: int = 0, toxic: list[int] = ()):
+    def __init__(
+        self, weights: DataFrame | list[float], threshold: float | None, buckets: int = BUCKETS, unseen: int = 0, toxic: list[int] = (),
+        in_row: int = IN_ROW_BUCKETS,
+    ):
         self.weights, self.threshold, self.buckets, self.unseen, self.toxic = weights, threshold, buckets, unseen, list(toxic)
+        self.in_row, self.stored = buckets <= in_row, None
+
+    def pages(self) -> DataFrame:
+        """One row: the weights by bucket as pages of two-byte numbers."""
+        if self.stored is None:
+            every = self.weights.sparkSession.range(self.buckets).select(F.col("id").cast("int").alias("bucket"))
+            filled = every.join(self.weights, "bucket", "left").select("bucket", F.coalesce("weight", F.lit(self.unseen)).cast("short").alias("weight"))
+            paged = filled.groupBy(F.expr(f"bucket div {PAGE}").alias("page")).agg(
+                F.transform(F.array_sort(F.collect_list(F.struct("bucket", "weight"))), lambda x: x.weight).alias("weights")
+            )
+            whole = paged.agg(F.transform(F.array_sort(F.collect_list(F.struct("page", "weights"))), lambda x: x.weights).alias("pages"))
+            self.stored = materialize(whole, "quality-pages")
+        return self.stored
 
     def weighed(self, found: DataFrame) -> DataFrame:
         """The rows of n-grams (column q_gram) with q_weight, in parts of 1 / ``SCALE``."""
-        weights = self.weights.select(F.col("bucket").alias("q_bucket"), F.col("weight").alias("q_known"))
         rows = found.withColumn("q_bucket", F.pmod("q_gram", F.lit(self.buckets)).cast("int")).drop("q_gram")
+        if self.in_row:
+            pages = self.pages().scalar()
+            weight = F.get(F.get(pages, F.expr(f"q_bucket div {PAGE}").cast("int")), F.col("q_bucket") % PAGE)
+            return rows.withColumn("q_weight", weight.cast("long")).drop("q_bucket")
+        weights = self.weights.select(F.col("bucket").alias("q_bucket"), F.col("weight").alias("q_known"))
         return rows.join(weights, "q_bucket", "left").withColumn("q_weight", F.coalesce("q_known", F.lit(self.unseen))).drop("q_bucket", "q_known")
 
     def rejected(self, docs: DataFrame) -> DataFrame | None:
@@ -165,7 +188,7 @@ def toxic_odds(sample: DataFrame) -> DataFrame | None:
     return materialize(counted.filter(F.col("t") >= MIN_TOXIC).select("q_gram", odds.alias("q_odds")).filter("q_odds > 0"), "quality-toxic")
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, in_row: int = IN_ROW_BUCKETS) -> Model:
     """Count all documents, the trusted and the toxic ones, then set the thresholds on the labelled sample."""
     # the sample has a size bound, so sending it to all tasks is safe at any scale
     marks = F.broadcast(materialize(labelled_sample(labels, sample), "quality-labels"))
@@ -182,7 +205,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     n_raw, n_trusted = (raw or 0) + SMOOTHING * buckets, (trusted or 0) + SMOOTHING * buckets
     weight = F.log((F.col("trusted") + SMOOTHING) / n_trusted) - F.log((F.col("raw") + SMOOTHING) / n_raw)
     weights = counted.select(F.col("bucket").cast("int").alias("bucket"), F.round(weight * SCALE).cast("long").alias("weight"))
-    model = Model(weights, None, buckets, round(math.log(n_raw / n_trusted) * SCALE))
+    model = Model(weights, None, buckets, round(math.log(n_raw / n_trusted) * SCALE), in_row=in_row)
     some = texts.join(marks, F.col("doc_id") == F.col("q_id")).drop("doc_id")
     odds = toxic_odds(with_units(some.filter("q_counted")).drop("text"))
     unseen = with_units(some.filter("not q_counted or not q_good and not q_toxic")).select("q_id", "q_good", "q_toxic", *text_key("x", "y"), "q_units")

@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from postlens.llm import arrow_tokens, decontaminate, line_dedup, main_text, near_dedup, packing, quality, suffix_dedup, url_rules, warc
 from postlens.llm.components import components
@@ -214,6 +215,18 @@ def test_quality_rejects_a_few_insults_in_a_long_text(spark):
     assert len([i for i in range(160) if i in kept]) >= 158 and not [i for i in range(160, 240) if i in kept]
 
 
+def test_quality_weights_in_the_row_equal_the_join(spark):
+    session(spark)
+    rnd = random.Random(6)
+    docs = spark.createDataFrame([(i, prose(40, rnd) if i % 3 else prose(40, rnd).upper()) for i in range(240)] + [(500, None), (501, "")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 > 0), 0) for i in range(0, 240, 2)], "doc_id long, quality int, toxic int")
+    row, join = (quality.fit(docs, labels, in_row=n) for n in (quality.IN_ROW_BUCKETS, 0))
+    assert row.in_row and not join.in_row and row.threshold == join.threshold is not None
+    grams = spark.range(3 * quality.BUCKETS).select(F.col("id").alias("q_gram"), "id")
+    assert collected(row.weighed(grams), "id", "q_weight") == collected(join.weighed(grams), "id", "q_weight")
+    assert collected(quality.judge(docs, row), "doc_id", "q_kept") == collected(quality.judge(docs, join), "doc_id", "q_kept")
+
+
 def test_quality_buckets_follow_the_corpus(spark):
     session(spark)
     docs = spark.createDataFrame([(i, " ".join(f"w{i}x{j}" for j in range(2000))) for i in range(1600)], "doc_id long, text string")
