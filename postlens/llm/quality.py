@@ -96,6 +96,15 @@ def grams(codes: Column) -> Column:
     return let(codes, both)
 
 
+def gram_rows(docs: DataFrame, *keep: str | Column) -> DataFrame:
+    """A row for each n-gram, as q_gram: the same hashes as ``grams`` has, but the pairs are hashed after the units are rows."""
+    units = F.col("q_units")
+    neighbours = F.arrays_zip(units, F.slice(units, F.lit(2), F.greatest(F.size(units) - 1, F.lit(0))))
+    rows = docs.select(*keep, F.inline(neighbours).alias("q_unit", "q_next"))
+    both = F.array("q_unit", F.when(F.col("q_next").isNotNull(), F.xxhash64("q_next", "q_unit")))
+    return rows.withColumn("q_gram", F.explode(both)).drop("q_unit", "q_next").filter("q_gram is not null")
+
+
 def with_units(docs: DataFrame) -> DataFrame:
     """The documents with ``q_units``, a hash of each unit."""
     units = F.regexp_extract_all(text_or_empty("text"), F.lit(UNIT), F.lit(0))
@@ -151,7 +160,7 @@ class Model:
         if self.threshold is None and not self.toxic:
             return None
         keyed = with_units(docs.select("text")).select(*text_key("x", "y"), "q_units")  # hashed before the texts' n-grams are rows
-        found = keyed.select("q_x", "q_y", F.explode(grams(F.col("q_units"))).alias("q_gram"))
+        found = gram_rows(keyed, "q_x", "q_y")
         found = found.withColumn("q_toxic", F.col("q_gram").isin(self.toxic) if self.toxic else F.lit(False))
         is_toxic = F.max("q_toxic")
         if self.threshold is None:
@@ -196,8 +205,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, in_row: int =
     buckets = bucket_count(texts)
     marked = with_units(texts.join(marks, F.col("doc_id") == F.col("q_id"), "left"))
     counted = materialize(
-        marked.select((F.col("q_good") & F.col("q_counted")).alias("trusted"), F.explode(grams(F.col("q_units"))).alias("gram"))
-        .groupBy(F.pmod("gram", F.lit(buckets)).alias("bucket"))
+        gram_rows(marked, (F.col("q_good") & F.col("q_counted")).alias("trusted"))
+        .groupBy(F.pmod("q_gram", F.lit(buckets)).alias("bucket"))
         .agg(F.count("*").alias("raw"), F.count_if("trusted").alias("trusted")),
         "quality-counts",
     )
@@ -209,7 +218,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, in_row: int =
     some = texts.join(marks, F.col("doc_id") == F.col("q_id")).drop("doc_id")
     odds = toxic_odds(with_units(some.filter("q_counted")).drop("text"))
     unseen = with_units(some.filter("not q_counted or not q_good and not q_toxic")).select("q_id", "q_good", "q_toxic", *text_key("x", "y"), "q_units")
-    found = unseen.select("q_id", "q_good", "q_toxic", "q_x", "q_y", F.explode(grams(F.col("q_units"))).alias("q_gram"))
+    found = gram_rows(unseen, "q_id", "q_good", "q_toxic", "q_x", "q_y")
     # the table is as large as the sample's n-grams at most
     found = found.join(F.broadcast(odds), "q_gram", "left") if odds is not None else found.withColumn("q_odds", F.lit(0.0))
     scored = model.weighed(found).groupBy("q_id", "q_x", "q_y", "q_good", "q_toxic").agg(

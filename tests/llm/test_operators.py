@@ -215,6 +215,13 @@ def test_quality_rejects_a_few_insults_in_a_long_text(spark):
     assert len([i for i in range(160) if i in kept]) >= 158 and not [i for i in range(160, 240) if i in kept]
 
 
+def test_quality_gram_rows_equal_grams(spark):
+    texts = [(0, None), (1, ""), (2, "one"), (3, "one one, one"), (4, prose(50)), (4, prose(50)), (5, " \n ,")]
+    units = quality.with_units(spark.createDataFrame(texts, "id int, text string"))
+    want = units.select("id", F.explode(quality.grams(F.col("q_units"))).alias("q_gram"))
+    assert collected(quality.gram_rows(units, "id"), "id", "q_gram") == collected(want, "id", "q_gram")
+
+
 def test_quality_weights_in_the_row_equal_the_join(spark):
     session(spark)
     rnd = random.Random(6)
