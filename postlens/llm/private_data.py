@@ -4,7 +4,7 @@ The patterns give the base spans. They also label the training rows: a bounded s
 around digits that belong to none. Labelled spans are also written in other ways (``rewrite``: spelled-out at signs and dots, phone numbers without a plus, spaced or bracketed
 addresses, other separators in card numbers), so that the model learns forms beyond the patterns. Network and training are plain numpy, with a fixed seed.
 
-Every text is searched as a whole. A span holds a digit, an at sign or the word "dot", so stretches further than ``REACH`` characters from all of these have nothing to decode; all
+Every text is searched as a whole. A span holds a digit, an at sign or the word "at" or "dot", so stretches further than ``REACH`` characters from all of these have nothing to decode; all
 others are cut into windows of ``WIDTH`` characters that overlap by half. Each window is decoded by Viterbi; a span's weight is the least posterior of its characters, less what a nearby window edge takes.
 The spans of all windows of a document are reconciled together: equal ones count once with their best weight, and of overlapping ones the set of most weight stays
 (weighted interval scheduling over the whole document). A span is added if its posterior is at least ``SURE``, it overlaps no base span, and its digits or parts satisfy the numeric rule of its kind.
@@ -41,7 +41,7 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 CHAIN = re.compile(r"[0-9]+(?:\.[0-9]+)*")  # matches wherever a digit stands, so no start is tried twice
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-GATE = re.compile(r"[0-9@]+|\b[Dd][Oo][Tt]\b")
+GATE = re.compile(r"[0-9@]+|\b(?:at|dot)\b", re.I)
 
 
 def luhn(digits: str) -> bool:
@@ -134,7 +134,7 @@ def labelled(length: int, spans: list[tuple[int, int, int]]) -> np.ndarray:
 
 
 def stretches(text: str) -> list[tuple[int, int]]:
-    """Parts of the text within reach of a digit, an at sign or a dot that is spelled out."""
+    """Parts of the text within reach of a digit, an at sign, or an at or a dot that is spelled out: whatever is ``plausible`` has one."""
     out: list[list[int]] = []
     for m in GATE.finditer(text):
         lo, hi = max(0, m.start() - REACH), min(len(text), m.end() + REACH)
