@@ -31,3 +31,10 @@ def test_stream_reads_a_file_and_a_folder_alike(spark, tmp_path):
 def test_cycle_of_a_streamed_folder(spark, tmp_path):
     (row,) = QUERIES["stream_cycle"](spark, tables(spark, tmp_path, 4)).collect()
     assert tuple(row) == ("analysis_batch_0", 30, 3)
+
+
+def test_unified_sources_read_posts_that_were_joined_once(spark, tmp_path):
+    found = QUERIES["unified_posts"](spark, tables(spark, tmp_path, 2))
+    assert "FullOuter" not in found._jdf.queryExecution().optimizedPlan().toString()
+    # the others have no title; post 3 has no content
+    assert {r.platform: r.posts for r in found.collect()} == {"news": 30, "reddit": 12, "quora": 5}
