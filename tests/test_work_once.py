@@ -1,10 +1,11 @@
 """Text work is done once a post, and keywords without interpreted array functions."""
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from postlens.functions import text as X
 from postlens.operators import enrich
-from postlens.operators.keywords import extract_keywords
+from postlens.operators.keywords import _ranked, extract_keywords
 
 
 def plan(df):
@@ -34,3 +35,29 @@ def test_only_texts_with_a_run_of_capitals_are_calmed(spark):
     frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     got = [r[0] for r in frame.orderBy("i").select(X.calm_capitals(F.col("t"))).collect()]
     assert got == ["", None, "ABC abc", "ABcd", "xABcdey ABC", "ÄBCde FGhi\nJKlmn"]
+
+
+def test_first_words_are_the_first_of_all_words_and_the_rest_is_not_split(spark):
+    texts = [None, "", "  ", "a", " a b", "a b c ", "　a\x85b  c d", "a b c d e", "\ta  b c"]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    t = F.col("t")
+    for n in (1, 2, 3, 8):
+        rows = frame.select(X.first_words(t, n).alias("few"), F.slice(X.words(t), 1, n).alias("same")).collect()
+        assert [r.few for r in rows] == [r.same for r in rows]
+    assert ", 5)" in plan(frame.select(X.first_words(t, 3)))
+
+
+def test_keywords_look_at_each_distinct_word_once():
+    looked = []
+
+    class Stop(str):
+        __hash__ = str.__hash__
+
+        def __eq__(self, other):
+            looked.append(other)
+            return str.__eq__(self, other)
+
+    texts = pa.array(["und b1 und und c22 c22 b1 ai", None, ""])
+    (first, *rest) = _ranked(2, 2, [Stop("und")], ["ai", "c2"]).func(texts).to_pylist()
+    assert first == {"keywords": ["b1", "c22"], "hits": [2, 2]} and rest == [{"keywords": [], "hits": []}] * 2
+    assert looked == ["und"]
