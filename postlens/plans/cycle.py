@@ -24,6 +24,8 @@ CYCLE_WINDOW_HOURS = 24
 CYCLE_MIN_MENTIONS = 3
 CYCLE_TRENDS = 10
 CYCLE_INSIGHTS = 10
+# What the analysis and the summary read of the enriched posts, besides the community.
+READ = ("ingest_seq", "source", "date", "title", "content", "sentiment_polarity", "word_count")
 
 
 @dataclass
@@ -49,6 +51,18 @@ def collect_posts(
     return enrich(unique, as_of, lexicon, score_sentiment=score_sentiment)
 
 
+def enriched_posts(
+    posts: DataFrame, as_of, by: Sequence[str] = (), near: bool = True, lexicon: DataFrame | None = None
+) -> DataFrame:
+    """The cycle's posts, collected and written once to the shared work folder, since every result reads them.
+
+    Only the columns in ``READ`` are written, so measures that no result of
+    the cycle reads, such as language and entities, are not worked out.
+    """
+    rich = collect_posts(posts, as_of, near=near, lexicon=lexicon)
+    return materialize(rich.select(*dict.fromkeys([*by, *READ])), "enriched")
+
+
 def analyze(
     posts: DataFrame,
     as_of,
@@ -147,14 +161,13 @@ def run_cycle(
     ``details_path`` takes the analysis itself: trends, sentiment, hours, sources and insights as rows. ``raw_path`` takes the posts as they
     came, per source and before any are dropped; the cycle's second is their batch, so a cycle that is run again replaces its own.
 
-    The enriched posts are written once to the shared work folder, since every
-    result of the cycle reads them.
+    The enriched posts are written once, see ``enriched_posts``.
     """
     now = as_time(as_of)
     if raw_path is not None:
         raw = store.raw_envelope(posts, F.coalesce("source", F.lit("Unknown")), F.lit("posts"), now)
         store.save_raw(raw, raw_path, posts.sparkSession.range(1).select(now.cast("long")).first()[0])
-    enriched = materialize(collect_posts(posts, as_of, near=near, lexicon=lexicon), "enriched")
+    enriched = enriched_posts(posts, as_of, by, near, lexicon)
     analysis = analyze(enriched, as_of, by)
     recommendations = recommend(analysis, as_of, by)
     summary = cycle_summary(enriched, analysis, recommendations, as_of, by)
