@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from postlens import constants as C
 from postlens.functions import text as X
 from postlens.functions.dates import hour_key, posted_at
-from postlens.operators.common import attach, engagement, top_rows
+from postlens.operators.common import attach, engagement, place, post_place, top_rows
 from postlens.session import small_table
 
 LENGTH_BUCKETS = ["short (0-100)", "medium (101-300)", "long (301+)"]
@@ -138,11 +141,28 @@ def competitor_mentions(
     return hits.groupBy(*by, "competitor").agg(F.sum("hits").alias("mentions"))
 
 
+def _first_holders(posts: DataFrame, names: Sequence[str], n: int, by: Sequence[str]) -> DataFrame:
+    """Posts, marked in ``_upto`` up to the ``n``-th of which a word holds a name; each such post gives a context at least."""
+    lowered = F.lower(_content())
+    holds = F.lit(False)
+    for name in names:
+        if not any(c.isspace() for c in name):  # no word holds white space
+            holds = holds | (lowered.contains(name.lower()) if name else lowered.rlike(C.NOT_SPACE))
+    first = top_rows(posts.where(holds).select(*by, "ingest_seq"), n, [F.asc("ingest_seq")], by)
+    last = first.groupBy(*by).agg(F.max("ingest_seq").alias("_last"))
+    upto = F.col("ingest_seq").isNull() | (F.col("ingest_seq") <= F.col("_last"))
+    return attach(posts, last, by).withColumn("_upto", upto).drop("_last")
+
+
 def competitor_contexts(
     posts: DataFrame, names: Sequence[str] = tuple(C.COMPETITORS), n: int = 20, reach: int = 3, by: Sequence[str] = ()
 ) -> DataFrame:
-    """The words around each word that holds a name: post, name, then word order."""
-    lowered = posts.select(*by, "ingest_seq", X.words(F.lower(_content())).alias("_words"))
+    """The words around each word that holds a name: post, name, then word order.
+
+    Only the first ``n`` posts that hold a name, and those of the same number as the last of them, are split into words.
+    """
+    held = _first_holders(posts, names, n, by)
+    lowered = held.select(*by, "ingest_seq", F.when(F.col("_upto"), X.words(F.lower(_content()))).alias("_words"))
 
     def around(name: str, order: int) -> Column:
         found = F.filter(
@@ -202,12 +222,36 @@ def sentiment_anomalies(posts: DataFrame, by: Sequence[str] = (), deviations: fl
     return attach(slim, shape, by).where(far).drop("_mean", "_std")
 
 
+TOPICS = T.ArrayType(
+    T.StructType([T.StructField("topic", T.StringType()), T.StructField("hits", T.LongType()), T.StructField("position", T.IntegerType())])
+)
+
+
+@F.arrow_udf(TOPICS)
+def _topics(texts: pa.Array) -> pa.Array:
+    """Each plain word of a lower-case text with its hits and its first position among them."""
+    names, hits, positions, ends = [], [], [], [0]
+    for text in texts.to_pylist():
+        found = [w for w in X.plain(text or "").split() if len(w) > 3 and w.isascii() and w.isalpha()]
+        firsts = dict(zip(reversed(found), range(len(found) - 1, -1, -1)))
+        counts = Counter(found)
+        names.extend(counts)
+        hits.extend(counts.values())
+        positions.extend(map(firsts.get, counts))
+        ends.append(len(names))
+    columns = [pa.array(names, pa.string()), pa.array(hits, pa.int64()), pa.array(positions, pa.int32())]
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(columns, TOPICS.elementType.names))
+
+
 def topic_predictions(posts: DataFrame, n: int = 10, by: Sequence[str] = ()) -> DataFrame:
-    """Most used plain words of four letters or more, each used at least three times."""
-    tokens = F.filter(F.split(F.lower(_content()), r"[^\p{L}\p{N}_]+"), lambda w: w.rlike("^[a-z]{4,}$"))
-    placed = posts.select(*by, "ingest_seq", F.posexplode(tokens).alias("position", "topic"))
-    counts = placed.groupBy(*by, "topic").agg(
-        F.count("*").alias("mentions"), F.min(F.struct("ingest_seq", "position")).alias("_first")
+    """Most used plain words of four letters or more, each used at least three times.
+
+    A post's words are counted in Arrow batches, so each of its distinct words is one row.
+    """
+    lowered = posts.where(F.trim(_content()) != "").select(*by, post_place().alias("_post"), F.lower(_content()).alias("_text"))
+    counted = lowered.select(*by, "_post", F.inline(_topics(X.settle(F.col("_text")))))
+    counts = counted.groupBy(*by, "topic").agg(
+        F.sum("hits").alias("mentions"), F.min(place(F.col("_post"), F.col("position"))).alias("_first")
     )
     growth = F.when(F.col("mentions") > 5, "increasing").otherwise("stable").alias("predicted_growth")
     ranked = top_rows(counts.where(F.col("mentions") >= 3), n, [F.desc("mentions"), F.asc("_first")], by)
