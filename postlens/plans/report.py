@@ -12,7 +12,9 @@ from postlens.functions.dates import as_time, hours_before, iso
 from postlens.operators import stats
 from postlens.operators.common import side_by_side
 from postlens.operators.insights import insights
+from postlens.operators.readings import RANKED, readings
 from postlens.operators.trends import keyword_trends
+from postlens.session import materialize
 
 REPORTED_TRENDS = 10
 REPORTED_INSIGHTS = 10
@@ -26,10 +28,14 @@ def analytics_report(
     stop_words: Sequence[str] = tuple(C.KEYWORD_STOP_WORDS),
     terms: Sequence[str] = tuple(C.TECH_KEYWORDS),
 ) -> DataFrame:
-    """One row per community: totals, first trends, distribution, sources, insights."""
+    """One row per community: totals, first trends, distribution, sources, insights.
+
+    Only the texts of the period's posts are read, once. The trends, a few per
+    community, are written, since the report and its insights both read them.
+    """
     now = as_time(as_of)
-    chosen = stats.period_filter(posts, now, period_hours, by)
-    trends = keyword_trends(chosen, now, period_hours, by=by, stop_words=stop_words, terms=terms)
+    chosen = readings(stats.period_filter(posts, now, period_hours, by), by, stop_words=stop_words, terms=terms)
+    trends = materialize(keyword_trends(chosen, now, period_hours, by=by, ranked=RANKED), "trends")
     lines = insights(chosen, trends, by)
     totals = chosen.groupBy(*by).agg(F.count("*").alias("total_articles"))
     fields = ["topic", "mentions", "velocity", "sentiment", "direction", "confidence", "peak_time", "related_keywords"]
